@@ -76,6 +76,18 @@ def round_half_even(x, digits: int) -> Column:
     return F.rint(_c(x) * F.lit(scale)) / F.lit(scale)
 
 
+def exact_mean(x, decimals: int) -> Column:
+    """Mean of a column whose values carry at most ``decimals`` decimals (e.g. our rounded
+    heat index), computed as an exact integer sum over an exact count.
+
+    A floating-point ``avg`` depends on summation order, so a mean sitting on a rounding
+    tie (57.225) could round either way from run to run; the integer sum cannot.
+    """
+    scale = 10 ** decimals
+    scaled = F.rint(_c(x) * F.lit(float(scale))).cast("bigint")
+    return F.sum(scaled).cast("double") / (F.count(scaled).cast("double") * F.lit(float(scale)))
+
+
 # --- tolerant casts (pandas ``to_numeric(errors="coerce")``) -----------------------------
 
 def nan_to_null(x) -> Column:

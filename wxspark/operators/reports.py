@@ -116,7 +116,7 @@ def heat_index_comparison(df: DataFrame) -> DataFrame:
         .groupBy("city")
         .agg(
             R(F.avg("temperature_c"), 2).alias("avg_temp_c"),
-            R(F.avg("heat_index_c"), 2).alias("avg_heat_index_c"),
+            R(X.exact_mean("heat_index_c", 1), 2).alias("avg_heat_index_c"),
         )
     )
     return out.withColumn(

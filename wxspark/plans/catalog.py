@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxspark.functions import expr as X
-from wxspark.operators import quality, reports, transform
+from wxspark.operators import activity, quality, reports, transform
 from wxspark.plans import oracle as O
 from wxspark.plans import views as V
 
@@ -252,3 +252,315 @@ FROM clean WHERE city IS NOT NULL GROUP BY city
 )
 def q_city_temperature_summary(spark, sf):
     return reports.city_temperature_summary(V.clean(spark, sf))
+
+
+@query(
+    "humidity_analysis",
+    f"""
+SELECT city, {R('avg(humidity_pct)', 1)} AS avg_humidity_pct, max(humidity_pct) AS max_humidity_pct,
+       min(humidity_pct) AS min_humidity_pct
+FROM clean WHERE city IS NOT NULL GROUP BY city
+""",
+)
+def q_humidity_analysis(spark, sf):
+    return reports.humidity_analysis(V.clean(spark, sf))
+
+
+@query(
+    "wind_speed_analysis",
+    f"""
+SELECT city, {R('avg(wind_speed_mps)', 2)} AS avg_wind_mps, {R('max(wind_speed_mps)', 2)} AS max_wind_mps
+FROM clean WHERE city IS NOT NULL GROUP BY city
+""",
+)
+def q_wind_speed_analysis(spark, sf):
+    return reports.wind_speed_analysis(V.clean(spark, sf))
+
+
+@query(
+    "common_weather_conditions",
+    """
+SELECT city, weather_condition AS most_common_condition, occurrences FROM (
+  SELECT city, weather_condition, count(*) AS occurrences,
+         row_number() OVER (PARTITION BY city ORDER BY count(*) DESC, weather_condition) AS rk
+  FROM clean WHERE city IS NOT NULL AND weather_condition IS NOT NULL
+  GROUP BY city, weather_condition
+) t WHERE rk = 1
+""",
+)
+def q_common_weather_conditions(spark, sf):
+    return reports.common_weather_conditions(V.clean(spark, sf))
+
+
+@query(
+    "daily_summary",
+    f"""
+SELECT CAST(recorded_at AS DATE) AS date, {R('avg(temperature_c)', 2)} AS avg_temp_c,
+       {R('max(temperature_c)', 2)} AS max_temp_c, {R('min(temperature_c)', 2)} AS min_temp_c,
+       {R('avg(humidity_pct)', 2)} AS avg_humidity, count(DISTINCT city) AS cities_tracked,
+       count(temperature_c) AS readings
+FROM clean WHERE recorded_at IS NOT NULL GROUP BY 1
+""",
+)
+def q_daily_summary(spark, sf):
+    return reports.daily_summary(V.clean(spark, sf))
+
+
+@query(
+    "comfort_distribution",
+    """
+SELECT city, comfort_level, count(*) AS "count"
+FROM clean WHERE city IS NOT NULL AND comfort_level IS NOT NULL GROUP BY city, comfort_level
+""",
+)
+def q_comfort_distribution(spark, sf):
+    return reports.comfort_distribution(V.clean(spark, sf))
+
+
+@query(
+    "heat_index_comparison",
+    f"""
+SELECT city, avg_temp_c, avg_heat_index_c, {R('avg_heat_index_c - avg_temp_c', 2)} AS heat_difference_c
+FROM (SELECT city, {R('avg(temperature_c)', 2)} AS avg_temp_c, {R('CAST(sum(CAST(round_even(heat_index_c * 10, 0) AS BIGINT)) AS DOUBLE) / (count(heat_index_c) * CAST(10 AS DOUBLE))', 2)} AS avg_heat_index_c
+      FROM clean WHERE city IS NOT NULL GROUP BY city) t
+""",
+)
+def q_heat_index_comparison(spark, sf):
+    return reports.heat_index_comparison(V.clean(spark, sf))
+
+
+@query(
+    "city_stats",
+    """
+SELECT city, count(*) AS total_readings, round(avg(temperature_c), 2) AS avg_temp_c,
+       round(min(temperature_c), 2) AS min_temp_c, round(max(temperature_c), 2) AS max_temp_c,
+       round(avg(humidity_pct), 1) AS avg_humidity_pct, round(avg(wind_speed_mps), 2) AS avg_wind_speed_mps,
+       min(recorded_at) AS first_reading, max(recorded_at) AS last_reading
+FROM stored GROUP BY city
+""",
+)
+def q_city_stats(spark, sf):
+    return reports.city_stats(V.stored(spark, sf))
+
+
+@query(
+    "report_metadata",
+    """
+SELECT count(*) AS total_records,
+       (SELECT string_agg(city, ', ' ORDER BY city) FROM (SELECT DISTINCT city FROM stored WHERE city IS NOT NULL) c) AS cities
+FROM stored
+""",
+)
+def q_report_metadata(spark, sf):
+    return reports.report_metadata(V.stored(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# stored table, dashboard and search activity
+# ---------------------------------------------------------------------------
+
+STORED_COLS = f"id, {OBS_FINAL}, date"
+
+
+@query("fetch_all", f"SELECT {STORED_COLS} FROM stored ORDER BY recorded_at DESC, inserted_at DESC, obs_id")
+def q_fetch_all(spark, sf):
+    return activity.fetch_all(V.stored(spark, sf))
+
+
+@query(
+    "recent_searches",
+    """
+SELECT inserted_at AS "Search Time", city AS "City", temperature_c AS "Temp (°C)", humidity_pct AS "Humidity (%)",
+       pressure_hpa AS "Pressure (hPa)", weather_condition AS "Condition"
+FROM stored ORDER BY recorded_at DESC, inserted_at DESC, obs_id LIMIT 20
+""",
+)
+def q_recent_searches(spark, sf):
+    return activity.recent_searches(V.stored(spark, sf))
+
+
+CITY_COUNTS_SQL = """
+SELECT city AS "City", count(*) AS "Search Count" FROM stored WHERE city IS NOT NULL GROUP BY city
+"""
+
+
+@query("city_search_counts", CITY_COUNTS_SQL)
+def q_city_search_counts(spark, sf):
+    return activity.city_search_counts(V.stored(spark, sf))
+
+
+@query("top5_cities", CITY_COUNTS_SQL + ' ORDER BY "Search Count" DESC, "City" LIMIT 5')
+def q_top5_cities(spark, sf):
+    return activity.top_cities(V.stored(spark, sf))
+
+
+@query(
+    "hourly_activity",
+    """
+SELECT s.h AS "Hour", coalesce(c.n, 0) AS "Searches"
+FROM (SELECT unnest(generate_series(date_trunc('hour', min(inserted_at)), date_trunc('hour', max(inserted_at)),
+                                    INTERVAL 1 HOUR)) AS h FROM stored) s
+LEFT JOIN (SELECT date_trunc('hour', inserted_at) AS h, count(*) AS n FROM stored
+           WHERE inserted_at IS NOT NULL GROUP BY 1) c ON s.h = c.h
+""",
+)
+def q_hourly_activity(spark, sf):
+    return activity.hourly_activity(V.stored(spark, sf))
+
+
+@query(
+    "hourly_window_counts",
+    """
+SELECT date_trunc('hour', inserted_at) AS window_start, date_trunc('hour', inserted_at) + INTERVAL 1 HOUR AS window_end,
+       count(*) AS searches
+FROM stored WHERE inserted_at IS NOT NULL GROUP BY 1, 2
+""",
+)
+def q_hourly_window_counts(spark, sf):
+    return activity.hourly_window_counts(V.stored(spark, sf))
+
+
+@query(
+    "kpi_row",
+    f"""
+SELECT count(*) AS records, {R('avg(temperature_c)', 1)} AS avg_temp_c, {R('avg(humidity_pct)', 1)} AS avg_humidity_pct,
+       {R('avg(pressure_hpa)', 1)} AS avg_pressure_hpa, count(DISTINCT city) AS cities
+FROM stored
+""",
+)
+def q_kpi_row(spark, sf):
+    return activity.kpi_row(V.stored(spark, sf))
+
+
+@query(
+    "city_mean_temperature",
+    "SELECT city, avg(temperature_c) AS mean_temperature_c FROM stored WHERE city IS NOT NULL GROUP BY city",
+)
+def q_city_mean_temperature(spark, sf):
+    return activity.city_mean_temperature(V.stored(spark, sf))
+
+
+@query(
+    "condition_distribution",
+    """
+SELECT coalesce(weather_condition, 'Unknown') AS weather_condition, count(*) AS "count" FROM obs GROUP BY 1
+""",
+)
+def q_condition_distribution(spark, sf):
+    """Over every received observation (the feed still has NULL conditions)."""
+    return activity.condition_distribution(V.obs(spark, sf))
+
+
+@query("temperature_trend", "SELECT recorded_at, temperature_c FROM stored ORDER BY recorded_at, obs_id")
+def q_temperature_trend(spark, sf):
+    return activity.series(V.stored(spark, sf), "temperature_c")
+
+
+@query("humidity_trend", "SELECT recorded_at, humidity_pct FROM stored ORDER BY recorded_at, obs_id")
+def q_humidity_trend(spark, sf):
+    return activity.series(V.stored(spark, sf), "humidity_pct")
+
+
+@query(
+    "fetch_latest",
+    f"""
+SELECT t.* FROM tr t
+JOIN (SELECT city, max(recorded_at) AS max_ts FROM tr GROUP BY city) l
+  ON t.city = l.city AND t.recorded_at = l.max_ts
+""",
+)
+def q_fetch_latest(spark, sf):
+    """Join form over the raw feed, where several readings share the latest hour."""
+    return activity.fetch_latest(V.transformed(spark, sf))
+
+
+@query(
+    "fetch_latest_window",
+    f"""
+SELECT {STORED_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY city ORDER BY recorded_at DESC, inserted_at DESC, obs_id) AS rn
+  FROM stored WHERE city IS NOT NULL
+) t WHERE rn = 1
+""",
+)
+def q_fetch_latest_window(spark, sf):
+    return activity.latest_per_city(V.stored(spark, sf))
+
+
+LOOKUP_CITY = "france"
+
+
+@query(
+    "fresh_city_lookup",
+    f"""
+SELECT {STORED_COLS} FROM stored
+WHERE lower(city) = lower('{LOOKUP_CITY}')
+  AND inserted_at >= (SELECT max(inserted_at) FROM stored WHERE lower(city) = lower('{LOOKUP_CITY}')) - INTERVAL 60 SECOND
+ORDER BY inserted_at DESC, obs_id LIMIT 1
+""",
+)
+def q_fresh_city_lookup(spark, sf):
+    """Live-page lookup for one city, as of the moment of that city's latest reading."""
+    st = V.stored(spark, sf)
+    as_of = st.where(F.lower("city") == F.lower(F.lit(LOOKUP_CITY))).agg(F.max("inserted_at")).scalar()
+    return activity.fresh_city_lookup(st, LOOKUP_CITY, as_of)
+
+
+@query(
+    "fresh_city_bulk",
+    """
+SELECT r.city AS requested_city, CASE WHEN b.id IS NULL THEN 'stale' ELSE 'fresh' END AS status, b.id, b.inserted_at
+FROM (SELECT DISTINCT city FROM stored) r
+LEFT JOIN (
+  SELECT lower(city) AS k, id, inserted_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY lower(city) ORDER BY inserted_at DESC, obs_id) AS rn
+    FROM stored WHERE inserted_at >= (SELECT max(inserted_at) FROM stored) - INTERVAL 60 SECOND) f
+  WHERE rn = 1
+) b ON lower(r.city) = b.k
+""",
+)
+def q_fresh_city_bulk(spark, sf):
+    """Every stored city requested at once, as of the newest insert: fresh or stale."""
+    st = V.stored(spark, sf)
+    as_of = st.agg(F.max("inserted_at")).scalar()
+    return activity.fresh_city_bulk(st.select("city"), st, as_of)
+
+
+@query(
+    "cached_record_defaults",
+    """
+SELECT id, city, country,
+       CAST(trunc(coalesce(nullif(temperature_c, 0), 0)) AS INTEGER) AS temperature,
+       CAST(trunc(coalesce(nullif(feels_like_c, 0), 0)) AS INTEGER) AS feels_like,
+       CAST(coalesce(nullif(humidity_pct, 0), 0) AS INTEGER) AS humidity,
+       CAST(coalesce(nullif(pressure_hpa, 0), 0) AS INTEGER) AS pressure,
+       CAST(coalesce(nullif(wind_speed_mps, 0), 0) AS DOUBLE) AS wind_speed,
+       weather_condition AS condition, weather_description AS description,
+       CAST(coalesce(nullif(visibility_m, 0), 10000) AS INTEGER) AS visibility,
+       CAST(coalesce(nullif(cloudiness_pct, 0), 0) AS INTEGER) AS clouds,
+       CAST(trunc(coalesce(nullif(temp_min_c, 0), nullif(temperature_c, 0), 0)) AS INTEGER) AS temp_min,
+       CAST(trunc(coalesce(nullif(temp_max_c, 0), nullif(temperature_c, 0), 0)) AS INTEGER) AS temp_max,
+       0 AS timezone_offset, CAST(0 AS BIGINT) AS sunrise_utc, CAST(0 AS BIGINT) AS sunset_utc
+FROM stored
+""",
+)
+def q_cached_record_defaults(spark, sf):
+    return activity.cached_record(V.stored(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# projections and keys (P5, L4)
+# ---------------------------------------------------------------------------
+
+
+@query("observation_projection", f"SELECT {OBS_FINAL} FROM tr")
+def q_observation_projection(spark, sf):
+    return transform.final_projection(V.transformed(spark, sf))
+
+
+@query(
+    "surrogate_key",
+    "SELECT obs_id, md5(concat_ws('|', city, strftime(recorded_at, '%Y-%m-%d %H:%M:%S'))) AS id FROM obs",
+)
+def q_surrogate_key(spark, sf):
+    return V.obs(spark, sf).select("obs_id", transform.surrogate_key().alias("id"))
