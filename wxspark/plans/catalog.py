@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from wxspark.functions import expr as X
 from wxspark.operators import activity, quality, reports, transform
+from wxspark.operators import load as load_op
 from wxspark.plans import oracle as O
 from wxspark.plans import views as V
+from wxspark.sources import raw_json
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -564,3 +566,316 @@ def q_observation_projection(spark, sf):
 )
 def q_surrogate_key(spark, sf):
     return V.obs(spark, sf).select("obs_id", transform.surrogate_key().alias("id"))
+
+
+# ---------------------------------------------------------------------------
+# raw responses
+# ---------------------------------------------------------------------------
+
+
+def _raw_docs(spark, sf):
+    """Each observation as the raw JSON document the provider would have sent."""
+    o = V.obs(spark, sf)
+    return o.select("obs_id", "inserted_at", raw_json.observation_to_raw(o).alias("doc"))
+
+
+def _parsed(spark, sf):
+    d = _raw_docs(spark, sf)
+    return d.select("obs_id", "inserted_at", raw_json.parse_json(F.col("doc")).alias("r")).select(
+        "obs_id", "inserted_at", "r.*"
+    )
+
+
+TITLE_SQL = (
+    "array_to_string(list_transform(range(1, length({s}) + 1), lambda i: CASE WHEN i = 1 OR NOT regexp_matches("
+    "substr({s}, i - 1, 1), '[\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]') THEN upper(substr({s}, i, 1)) ELSE lower(substr({s}, i, 1)) END), '')"
+)
+
+
+def title_sql(s: str) -> str:
+    return TITLE_SQL.format(s=s)
+
+
+@query(
+    "raw_json_parse",
+    f"""
+SELECT obs_id, coalesce(city, '') AS city, coalesce(country, '') AS country, temperature_c, feels_like_c,
+       temp_min_c, temp_max_c, humidity_pct, pressure_hpa, wind_speed_mps, wind_direction_deg,
+       coalesce(weather_condition, '') AS weather_condition,
+       {title_sql("coalesce(weather_description, '')")} AS weather_description,
+       visibility_m, cloudiness_pct, recorded_at, extracted_at
+FROM obs
+""",
+)
+def q_raw_json_parse(spark, sf):
+    """Observations -> raw JSON documents -> parsed back with the tolerant RAW schema."""
+    good, _ = raw_json.split_raw(_parsed(spark, sf), keep=("obs_id",))
+    return good
+
+
+@query(
+    "raw_json_rejects",
+    "SELECT obs_id, 'malformed_json' AS reason FROM obs WHERE temperature_c IS NULL",
+)
+def q_raw_json_rejects(spark, sf):
+    """Documents truncated in transit where a reading is missing: exactly those rows are
+    rejected as malformed, every other row of the batch parses."""
+    d = _raw_docs(spark, sf)
+    cut = F.when(F.col("doc").contains('"main":{"feels_like"'), F.expr("substr(doc, 1, length(doc) - 1)")).otherwise(
+        F.col("doc")
+    )
+    parsed = d.select("obs_id", "inserted_at", raw_json.parse_json(cut).alias("r")).select("obs_id", "inserted_at", "r.*")
+    _, bad = raw_json.split_raw(parsed, keep=("obs_id",))
+    return bad.select("obs_id", "reason")
+
+
+@query(
+    "tolerant_cast",
+    f"SELECT {OBS_FINAL} FROM tr",
+)
+def q_tolerant_cast(spark, sf):
+    """Observations written as text (as the CSV sink does) and re-typed tolerantly."""
+    t = V.transformed(spark, sf)
+    text = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns])
+    return transform.final_projection(transform.tolerant_cast(text).withColumn("obs_id", F.col("obs_id").cast("bigint")))
+
+
+@query(
+    "live_profile_projection",
+    f"""
+SELECT obs_id, city, country, round_even(temperature_c, 0) AS temperature_c, round_even(feels_like_c, 0) AS feels_like_c,
+       round_even(coalesce(temp_min_c, temperature_c), 0) AS temp_min_c,
+       round_even(coalesce(temp_max_c, temperature_c), 0) AS temp_max_c,
+       humidity_pct, pressure_hpa, wind_speed_mps, CAST(NULL AS INTEGER) AS wind_direction_deg,
+       weather_condition, weather_description, coalesce(visibility_m, 10000) AS visibility_m,
+       coalesce(cloudiness_pct, 0) AS cloudiness_pct, CAST(NULL AS DOUBLE) AS heat_index_c,
+       {O.comfort_sql('round_even(temperature_c, 0)', 'live')} AS comfort_level,
+       inserted_at AS recorded_at, inserted_at AS extracted_at
+FROM obs
+WHERE city IS NOT NULL AND country IS NOT NULL AND temperature_c IS NOT NULL AND feels_like_c IS NOT NULL
+  AND humidity_pct IS NOT NULL AND pressure_hpa IS NOT NULL AND wind_speed_mps IS NOT NULL
+  AND weather_condition IS NOT NULL AND weather_description IS NOT NULL
+""",
+)
+def q_live_profile_projection(spark, sf):
+    p = _parsed(spark, sf)
+    return raw_json.flatten_live(p, F.col("inserted_at"), keep=("obs_id",))
+
+
+@query(
+    "epoch_to_timestamp",
+    "SELECT obs_id, CAST(floor(epoch(inserted_at)) AS BIGINT) AS dt, CAST(to_timestamp(floor(epoch(inserted_at))) AS TIMESTAMP) AS recorded_ts FROM obs",
+)
+def q_epoch_to_timestamp(spark, sf):
+    o = V.obs(spark, sf).select("obs_id", F.unix_timestamp(F.col("inserted_at").cast("timestamp")).alias("dt"))
+    return o.select("obs_id", "dt", X.epoch_to_timestamp(F.col("dt").cast("string")).alias("recorded_ts"))
+
+
+@query(
+    "iso_truncate",
+    "SELECT obs_id, strftime(inserted_at, '%Y-%m-%dT%H:%M:%S.%f') AS iso, date_trunc('second', inserted_at) AS extracted_at FROM obs",
+)
+def q_iso_truncate(spark, sf):
+    o = V.obs(spark, sf).select("obs_id", F.date_format("inserted_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("iso"))
+    return o.select("obs_id", "iso", X.iso_truncate("iso").alias("extracted_at"))
+
+
+# ---------------------------------------------------------------------------
+# scalar functions
+# ---------------------------------------------------------------------------
+
+
+@query(
+    "title_case",
+    f"""
+SELECT obs_id, {title_sql('city')} AS city_title, {title_sql('weather_description')} AS description_title FROM obs
+""",
+)
+def q_title_case(spark, sf):
+    o = V.obs(spark, sf)
+    return o.select(
+        "obs_id",
+        X.title_case("city").alias("city_title"),
+        X.title_case("weather_description").alias("description_title"),
+    )
+
+
+@query(
+    "heat_index",
+    f"""
+SELECT obs_id, {O.heat_index_sql('temperature_c', 'humidity_pct')} AS heat_index_c,
+       CASE WHEN temperature_c > 27 AND humidity_pct > 40 THEN {O.heat_index_sql('temperature_c', 'humidity_pct')} END
+         AS heat_index_guarded_c
+FROM obs
+""",
+)
+def q_heat_index(spark, sf):
+    o = V.obs(spark, sf)
+    return o.select(
+        "obs_id",
+        X.heat_index("temperature_c", "humidity_pct").alias("heat_index_c"),
+        X.heat_index("temperature_c", "humidity_pct", guarded=True).alias("heat_index_guarded_c"),
+    )
+
+
+@query("comfort_batch", f"SELECT obs_id, {O.comfort_sql('temperature_c', 'batch')} AS comfort_level FROM obs")
+def q_comfort_batch(spark, sf):
+    return V.obs(spark, sf).select("obs_id", X.comfort_level("temperature_c", "batch").alias("comfort_level"))
+
+
+@query("comfort_live", f"SELECT obs_id, {O.comfort_sql('temperature_c', 'live')} AS comfort_level FROM obs")
+def q_comfort_live(spark, sf):
+    return V.obs(spark, sf).select("obs_id", X.comfort_level("temperature_c", "live").alias("comfort_level"))
+
+
+# Viewer zone used by the display queries: UTC+05:30.
+DISPLAY_OFFSET_SECONDS = 19800
+
+TOD_SQL = (
+    "CASE WHEN hour({t}) IS NULL THEN NULL WHEN hour({t}) >= 20 OR hour({t}) < 5 THEN 'night' "
+    "WHEN hour({t}) < 7 THEN 'dawn' WHEN hour({t}) < 17 THEN 'day' ELSE 'dusk' END"
+)
+LOCAL_SQL = f"(inserted_at + INTERVAL {DISPLAY_OFFSET_SECONDS} SECOND)"
+
+
+def _local(o):
+    return o.withColumn("local_time", X.local_time("inserted_at", F.lit(DISPLAY_OFFSET_SECONDS)))
+
+
+@query("city_local_time", f"SELECT obs_id, {LOCAL_SQL} AS local_time FROM obs")
+def q_city_local_time(spark, sf):
+    return _local(V.obs(spark, sf)).select("obs_id", "local_time")
+
+
+@query("time_of_day", f"SELECT obs_id, {TOD_SQL.format(t=LOCAL_SQL)} AS time_of_day FROM obs")
+def q_time_of_day(spark, sf):
+    return _local(V.obs(spark, sf)).select("obs_id", X.time_of_day("local_time").alias("time_of_day"))
+
+
+@query(
+    "local_clock_label",
+    f"""
+SELECT obs_id, ltrim(strftime(CAST(to_timestamp(epoch(recorded_at)::BIGINT + {DISPLAY_OFFSET_SECONDS}) AS TIMESTAMP),
+                              '%I:%M %p'), '0') AS clock_label
+FROM obs
+""",
+)
+def q_local_clock_label(spark, sf):
+    o = V.obs(spark, sf)
+    epoch = F.unix_timestamp(F.col("recorded_at").cast("timestamp"))
+    return o.select("obs_id", X.local_clock_label(epoch, F.lit(DISPLAY_OFFSET_SECONDS)).alias("clock_label"))
+
+
+ICON_SQL = (
+    "CASE WHEN {c} = 'Clear' THEN CASE {tod} WHEN 'night' THEN '🌙' WHEN 'dawn' THEN '🌄' WHEN 'dusk' THEN '🌄' ELSE '☀️' END "
+    "WHEN {c} = 'Clouds' THEN '☁️' WHEN {c} = 'Rain' THEN '🌧️' WHEN {c} = 'Drizzle' THEN '🌦️' "
+    "WHEN {c} = 'Thunderstorm' THEN '⛈️' WHEN {c} = 'Snow' THEN '❄️' WHEN {c} IN ('Mist', 'Fog', 'Haze') THEN '🌫️' "
+    "WHEN {c} = 'Smoke' THEN '💨' WHEN {c} IN ('Dust', 'Sand', 'Tornado') THEN '🌪️' ELSE '🌤️' END"
+)
+
+
+@query(
+    "condition_icon",
+    f"SELECT obs_id, {ICON_SQL.format(c='weather_condition', tod=TOD_SQL.format(t=LOCAL_SQL))} AS icon FROM obs",
+)
+def q_condition_icon(spark, sf):
+    o = _local(V.obs(spark, sf))
+    return o.select("obs_id", X.condition_icon("weather_condition", X.time_of_day("local_time")).alias("icon"))
+
+
+@query(
+    "gauge_percentages",
+    f"""
+SELECT id, {O.rnd('visibility_m / 1000.0', 1)} AS visibility_km,
+       coalesce(humidity_pct, 50) AS humidity_gauge,
+       coalesce(least(100, CAST(trunc(wind_speed_mps / 25.0 * 100) AS INTEGER)), 30) AS wind_gauge,
+       coalesce(greatest(0, least(100, CAST(trunc((pressure_hpa - 870.0) / 215.0 * 100) AS INTEGER))), 60) AS pressure_gauge,
+       coalesce(least(100, CAST(trunc({O.rnd('visibility_m / 1000.0', 1)} / 15.0 * 100) AS INTEGER)), 75) AS visibility_gauge,
+       coalesce(cloudiness_pct, 40) AS clouds_gauge
+FROM stored
+""",
+)
+def q_gauge_percentages(spark, sf):
+    st = V.stored(spark, sf)
+    return st.select(
+        "id",
+        X.visibility_km("visibility_m").alias("visibility_km"),
+        X.gauge_humidity_pct("humidity_pct").alias("humidity_gauge"),
+        X.gauge_wind_pct("wind_speed_mps").alias("wind_gauge"),
+        X.gauge_pressure_pct("pressure_hpa").alias("pressure_gauge"),
+        X.gauge_visibility_pct("visibility_m").alias("visibility_gauge"),
+        X.gauge_clouds_pct("cloudiness_pct").alias("clouds_gauge"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# keyed load (L2-L4, J2): batch A = readings of the first half of the feed's time range,
+# then batch B = the whole feed re-delivered (replay), both into the same table
+# ---------------------------------------------------------------------------
+
+SPLIT_SQL = "(SELECT make_timestamp((epoch_us(min(inserted_at)) + epoch_us(max(inserted_at))) // 2) FROM obs)"
+
+LOAD_CTES = f"""
+, ba AS (SELECT * FROM tr WHERE inserted_at < {SPLIT_SQL}),
+ta AS (SELECT * FROM ba WHERE city IS NOT NULL AND recorded_at IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY city, recorded_at ORDER BY obs_id) = 1),
+tb AS (SELECT * FROM tr b WHERE city IS NOT NULL AND recorded_at IS NOT NULL
+       AND NOT EXISTS (SELECT 1 FROM ta WHERE ta.city = b.city AND ta.recorded_at = b.recorded_at)
+       QUALIFY row_number() OVER (PARTITION BY city, recorded_at ORDER BY obs_id) = 1)
+"""
+
+
+def _load_batches(spark, sf):
+    t = V.transformed(spark, sf)
+    mid = t.agg(
+        F.timestamp_micros(
+            F.floor((F.unix_micros(F.min("inserted_at").cast("timestamp")) + F.unix_micros(F.max("inserted_at").cast("timestamp"))) / 2).cast("bigint")
+        ).cast("timestamp_ntz")
+    ).scalar()
+    a = transform.to_stored(t.where(F.col("inserted_at") < mid))
+    b = transform.to_stored(t)
+    return a, b
+
+
+@query("load_insert_if_absent")
+def q_load_insert_if_absent(spark, sf):
+    """Table contents after loading A into an empty table, then B on top."""
+    a, b = _load_batches(spark, sf)
+    ins_a = load_op.insert_if_absent(a, None)
+    ins_b = load_op.insert_if_absent(b, ins_a)
+    cols = ["obs_id", "id", "city", "recorded_at"]
+    return ins_a.select(*cols, F.lit("A").alias("load_batch")).unionByName(ins_b.select(*cols, F.lit("B").alias("load_batch")))
+
+
+ORACLE["load_insert_if_absent"] = O.with_views(
+    "SELECT 1 AS _",
+).replace("\nSELECT 1 AS _", "") + LOAD_CTES + """
+SELECT obs_id, md5(city || '|' || strftime(recorded_at, '%Y-%m-%d %H:%M:%S')) AS id, city, recorded_at, 'A' AS load_batch FROM ta
+UNION ALL
+SELECT obs_id, md5(city || '|' || strftime(recorded_at, '%Y-%m-%d %H:%M:%S')) AS id, city, recorded_at, 'B' AS load_batch FROM tb
+"""
+
+
+@query("load_stats")
+def q_load_stats(spark, sf):
+    """inserted / skipped / failed of each of the two loads."""
+    a, b = _load_batches(spark, sf)
+    ca = load_op.classify(a, None)
+    ins_a = ca.where(F.col("_load_status") == "inserted").drop("_load_status")
+    cb = load_op.classify(b, ins_a)
+    return load_op.stats_frame(ca).select(F.lit("A").alias("load_batch"), "*").unionByName(
+        load_op.stats_frame(cb).select(F.lit("B").alias("load_batch"), "*")
+    )
+
+
+ORACLE["load_stats"] = O.with_views("SELECT 1 AS _").replace("\nSELECT 1 AS _", "") + LOAD_CTES + """
+SELECT 'A' AS load_batch, (SELECT count(*) FROM ta) AS inserted,
+       count(*) - (SELECT count(*) FROM ta) - count(*) FILTER (WHERE city IS NULL OR recorded_at IS NULL) AS skipped,
+       count(*) FILTER (WHERE city IS NULL OR recorded_at IS NULL) AS failed
+FROM ba
+UNION ALL
+SELECT 'B', (SELECT count(*) FROM tb),
+       count(*) - (SELECT count(*) FROM tb) - count(*) FILTER (WHERE city IS NULL OR recorded_at IS NULL),
+       count(*) FILTER (WHERE city IS NULL OR recorded_at IS NULL)
+FROM tr
+"""
