@@ -241,8 +241,10 @@ def visibility_km(visibility_m) -> Column:
 
 
 def _clamp_pct(x: Column, lower: bool) -> Column:
+    """Clamp to <= 100 (and >= 0 if ``lower``); NULL stays NULL (``least`` skips NULLs)."""
     v = F.least(F.lit(100), x.cast("int"))
-    return F.greatest(F.lit(0), v) if lower else v
+    v = F.greatest(F.lit(0), v) if lower else v
+    return F.when(x.isNotNull(), v)
 
 
 def gauge_wind_pct(wind_mps) -> Column:

@@ -128,7 +128,8 @@ def mark_duplicates(df: DataFrame, keys=DUPLICATE_KEY, order_col: str = "obs_id"
                     first_col: str | None = None) -> DataFrame:
     """Add ``flag`` = row is not the first (smallest ``order_col``) of its key.
 
-    NULL keys compare equal (as pandas ``duplicated`` does). ``order_col`` must be unique.
+    NULL keys compare equal (as pandas ``duplicated`` does). ``order_col`` must be unique
+    per row; any orderable type works (e.g. a struct of extraction time, file, position).
     Only keys occurring more than once reach the join; a hot key is pre-aggregated
     map-side to one row per task and split by AQE's skew handling on the probe side.
     """
@@ -156,6 +157,7 @@ class Validation:
     flagged: DataFrame
     rules: list[Rule]
     columns: list[str]
+    id_col: str = "obs_id"
 
     @property
     def clean(self) -> DataFrame:
@@ -166,16 +168,23 @@ class Validation:
         return self.flagged.where(F.col("critical")).select(*self.columns, "issue_list")
 
     def issues(self) -> DataFrame:
-        return issues_frame(self.flagged, self.rules)
+        return issues_frame(self.flagged, self.rules, self.id_col)
 
     def summary(self) -> DataFrame:
-        return summary_frame(self.flagged, self.rules)
+        return summary_frame(self.flagged, self.rules, self.id_col)
+
+    def with_flagged(self, flagged: DataFrame) -> "Validation":
+        """Same rules over a materialised copy of the flagged rows (lineage cut)."""
+        return Validation(flagged=flagged, rules=self.rules, columns=self.columns, id_col=self.id_col)
 
     def null_counts(self) -> DataFrame:
         return null_counts_frame(self.clean, self.columns)
 
 
-def validate(df: DataFrame, rules: list[Rule] | None = None, order_col: str = "obs_id") -> Validation:
+def validate(df: DataFrame, rules: list[Rule] | None = None, order_col: str = "obs_id",
+             id_col: str = "obs_id") -> Validation:
+    """Flag ``df`` against ``rules``. ``order_col`` decides which duplicate is first;
+    ``id_col`` identifies rows in the issue statistics."""
     rules = default_rules() if rules is None else rules
     columns = df.columns
     flagged = df
@@ -194,7 +203,7 @@ def validate(df: DataFrame, rules: list[Rule] | None = None, order_col: str = "o
         ",", *[F.when(F.col(f"f_{r.rule_id}"), F.lit(r.rule_id)) for r in rules]
     )
     flagged = flagged.select("*", any_crit.alias("critical"), issue_list.alias("issue_list"))
-    return Validation(flagged=flagged, rules=rules, columns=columns)
+    return Validation(flagged=flagged, rules=rules, columns=columns, id_col=id_col)
 
 
 def _rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:

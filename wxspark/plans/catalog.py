@@ -788,9 +788,12 @@ def q_condition_icon(spark, sf):
     f"""
 SELECT id, {O.rnd('visibility_m / 1000.0', 1)} AS visibility_km,
        coalesce(humidity_pct, 50) AS humidity_gauge,
-       coalesce(least(100, CAST(trunc(wind_speed_mps / 25.0 * 100) AS INTEGER)), 30) AS wind_gauge,
-       coalesce(greatest(0, least(100, CAST(trunc((pressure_hpa - 870.0) / 215.0 * 100) AS INTEGER))), 60) AS pressure_gauge,
-       coalesce(least(100, CAST(trunc({O.rnd('visibility_m / 1000.0', 1)} / 15.0 * 100) AS INTEGER)), 75) AS visibility_gauge,
+       CASE WHEN wind_speed_mps IS NULL THEN 30 ELSE least(100, CAST(trunc(wind_speed_mps / 25.0 * 100) AS INTEGER)) END
+         AS wind_gauge,
+       CASE WHEN pressure_hpa IS NULL THEN 60
+            ELSE greatest(0, least(100, CAST(trunc((pressure_hpa - 870.0) / 215.0 * 100) AS INTEGER))) END AS pressure_gauge,
+       CASE WHEN visibility_m IS NULL THEN 75
+            ELSE least(100, CAST(trunc({O.rnd('visibility_m / 1000.0', 1)} / 15.0 * 100) AS INTEGER)) END AS visibility_gauge,
        coalesce(cloudiness_pct, 40) AS clouds_gauge
 FROM stored
 """,
