@@ -65,15 +65,24 @@ def landing_rejects(spark: SparkSession, path: str, multiline: bool = False) ->
     )
 
 
+def _event_time(df: DataFrame, col: str) -> tuple[DataFrame, str]:
+    """Watermarks need TIMESTAMP (LTZ); our columns are naive UTC (NTZ) and the session
+    zone is UTC, so the cast keeps the wall time."""
+    name = f"_event_{col}"
+    return df.withColumn(name, F.col(col).cast("timestamp")), name
+
+
 def dedup_within_watermark(df: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Drop repeats of (city, recorded_at) seen within ``delay`` of the event-time watermark."""
-    return df.withWatermark("recorded_at", delay).dropDuplicatesWithinWatermark(list(KEY))
+    df, ev = _event_time(df, "recorded_at")
+    return df.withWatermark(ev, delay).dropDuplicatesWithinWatermark(list(KEY)).drop(ev)
 
 
 def hourly_counts(df: DataFrame, time_col: str = "inserted_at", delay: str = "1 hour") -> DataFrame:
+    df, ev = _event_time(df, time_col)
     return (
-        df.withWatermark(time_col, delay)
-        .groupBy(F.window(time_col, "1 hour"))
+        df.withWatermark(ev, delay)
+        .groupBy(F.window(ev, "1 hour"))
         .agg(F.count(F.lit(1)).alias("searches"))
         .select(
             F.col("window.start").cast("timestamp_ntz").alias("window_start"),
