@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxspark.functions import expr as X
-from wxspark.sources.tables import read_table
+from wxspark.sources.tables import read_table, spread
 
 # Event type -> weather condition used by the derived view (first match wins).
 EVENT_CONDITIONS = (
@@ -42,7 +42,9 @@ def _every(n: int) -> Column:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw (unvalidated) observation frame with ``obs_id`` as ingest order."""
-    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    events = spread(
+        read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"), "event_id"
+    )
     # Dimension tables: one row per customer / nation; Catalyst prunes them to the
     # referenced columns and AQE broadcasts them only when their runtime size is small.
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")

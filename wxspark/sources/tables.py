@@ -18,3 +18,17 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition a scan that yields fewer splits than the cluster has cores.
+
+    A small input stored as one parquet row group is read by a single task, so all the
+    narrow work after it (JSON parsing, dimension joins, flag expressions) would run on
+    one core. Large inputs have many splits and pass through unchanged (no shuffle).
+    Hashing on ``keys`` keeps the row -> partition assignment deterministic on retry.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, *keys)
+    return df
