@@ -107,3 +107,10 @@ def test_falsy_default(spark):
     df = spark.createDataFrame([(0.0,), (None,), (3.5,)], "x double")
     assert [r[0] for r in df.select(X.falsy_default("x", 10.0)).collect()] == [10.0, 10.0, 3.5]
     assert F is not None
+
+
+def test_display_datetime_and_run_stamp(spark):
+    df = spark.createDataFrame([(datetime(2024, 9, 15, 18, 50, 7),)], "t timestamp_ntz")
+    got = df.select(X.display_datetime("t"), X.run_stamp("t")).first()
+    assert got[0] == datetime(2024, 9, 15, 18, 50, 7).strftime("%A, %d %B · %I:%M %p")
+    assert got[1] == "20240915_185007"

@@ -80,3 +80,14 @@ def test_stored_side_is_pruned_to_batch_dates(spark, tmp_dir):
     plan = L.classify(batch, L.read_table(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
     assert "ReadSchema: struct<city:string,recorded_at:timestamp_ntz>" in plan
+
+
+def test_create_table_is_idempotent(spark, tmp_dir):
+    path = f"{tmp_dir}/weather"
+    schema = transform.to_stored(V.transformed(spark, SF_SMALL)).schema
+    L.create_table(spark, path, schema)
+    assert L.table_exists(spark, path) and L.read_table(spark, path, schema).count() == 0
+    L.load(spark, V.transformed(spark, SF_SMALL), path)
+    n = L.read_table(spark, path).count()
+    L.create_table(spark, path, schema)  # second call keeps the data
+    assert L.read_table(spark, path).count() == n > 0

@@ -50,3 +50,15 @@ def test_search_analytics_bundle(spark):
     got = R.search_analytics(V.stored(spark, SF_SMALL))
     assert set(got) == {"recent_searches", "city_search_counts", "top5_cities", "activity_over_time"}
     assert got["top5_cities"].count() == 5
+
+
+def test_load_failure_falls_back_to_clean_rows(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    o = V.obs(spark, SF_SMALL)
+    sinks.write_landing(o.select(raw_json.observation_to_raw(o).alias("doc"), F.col("inserted_at").alias("ingest_ts")), landing)
+    blocked = f"{tmp_dir}/not_a_table"
+    with open(blocked, "w") as f:  # a plain file where the table folder should be
+        f.write("x")
+    res = R.run_batch(spark, landing, blocked, f"{tmp_dir}/out", run_ts=datetime(2024, 2, 1))
+    assert res.status == "SUCCESS" and "error" in res.stages["load"]
+    assert len(res.outputs["reports"]) == 7

@@ -84,3 +84,21 @@ def test_stream_latest_per_city_matches_batch(spark, tmp_dir):
     expected = {(r.city, r.m) for r in good.groupBy("city").agg(F.max("recorded_at").alias("m")).where("city <> ''").collect()}
     assert {x for x in streamed if x[0] != ""} == expected
     assert os.path.isdir(landing)
+
+
+def test_late_rows_behind_the_watermark_are_dropped_by_dedup(spark, tmp_dir):
+    landing, out, ck = f"{tmp_dir}/landing", f"{tmp_dir}/out", f"{tmp_dir}/ck6"
+
+    def run():
+        deduped = S.dedup_within_watermark(S.landing_stream(spark, landing))
+        (
+            deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+        return spark.read.parquet(out).count()
+
+    land(spark, landing, "inserted_at >= '2024-01-20'")
+    first = run()
+    # a second delivery of readings from weeks earlier: far behind the 2-hour watermark
+    land(spark, landing, "inserted_at < '2024-01-03'")
+    assert first > 0 and run() == first

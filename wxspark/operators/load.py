@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,8 +86,31 @@ def create_table(spark: SparkSession, path: str, schema) -> None:
         spark.createDataFrame([], schema).write.mode("append").partitionBy("date").parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+def _empty_table(exc: AnalysisException) -> bool:
+    cond = getattr(exc, "getCondition", None) or exc.getErrorClass
+    return cond() == "UNABLE_TO_INFER_SCHEMA"
+
+
+def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The stored table. A table created but still empty has no data file to take the
+    schema from: it reads as an empty frame of ``schema`` when one is given."""
+    try:
+        return spark.read.option("basePath", path).parquet(path)
+    except AnalysisException as exc:
+        if schema is not None and _empty_table(exc):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    if not table_exists(spark, path):
+        return None
+    try:
+        return read_table(spark, path)
+    except AnalysisException as exc:
+        if _empty_table(exc):
+            return None
+        raise
 
 
 def load(spark: SparkSession, df: DataFrame, path: str, run_ts=None, keys=KEY, order_col: str = "obs_id") -> dict:
@@ -99,7 +123,7 @@ def load(spark: SparkSession, df: DataFrame, path: str, run_ts=None, keys=KEY, o
     if "inserted_at" not in batch.columns:
         batch = batch.withColumn("inserted_at", F.lit(run_ts).cast("timestamp_ntz"))
     batch = transform.to_stored(batch)
-    existing = read_table(spark, path) if table_exists(spark, path) else None
+    existing = _existing(spark, path)
     if existing is not None:
         batch = batch.select(*existing.columns)
     classified = classify(batch, existing, keys, order_col)
