@@ -127,3 +127,32 @@ def search_analytics(stored: DataFrame) -> dict[str, DataFrame]:
 def live_lookup(requests: DataFrame, stored: DataFrame, as_of) -> DataFrame:
     """Bulk live fetch (G4): which requested cities can be served from a fresh stored row."""
     return activity.fresh_city_bulk(requests, stored, F.lit(as_of).cast("timestamp_ntz"))
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit -m``-style entry: run one batch over a landing folder.
+
+    Uses the session the cluster provides (master, memory, ``spark.checkpoint.dir``);
+    exit code 0 only on SUCCESS.
+    """
+    import argparse
+    import json
+
+    from wxspark.session import build_session
+
+    ap = argparse.ArgumentParser(prog="wxspark-run", description=__doc__)
+    ap.add_argument("landing", help="folder of raw JSON responses (JSON lines, or arrays with --multiline)")
+    ap.add_argument("table", help="stored observation table (parquet, partitioned by date)")
+    ap.add_argument("out", help="folder for validation outputs and report exports")
+    ap.add_argument("--multiline", action="store_true", help="landing files are pretty-printed JSON arrays")
+    ap.add_argument("--run-ts", help="run timestamp (ISO, UTC); default now")
+    args = ap.parse_args(argv)
+    spark = build_session(app_name="wxspark-run")
+    run_ts = datetime.fromisoformat(args.run_ts) if args.run_ts else None
+    result = run_batch(spark, args.landing, args.table, args.out, run_ts=run_ts, multiline=args.multiline)
+    print(json.dumps({"status": result.status, "run_id": result.run_id, "stages": result.stages}, default=str))
+    return 0 if result.status == "SUCCESS" else 1
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
