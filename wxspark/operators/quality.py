@@ -53,6 +53,30 @@ class Rule:
     violation: Column | None = field(default=None, compare=False)
     value: Column | None = field(default=None, compare=False)
     valid_range: tuple | None = None
+    # Optional SQL forms of ``violation`` / ``value``: built-in rules use them so a
+    # validation plan is assembled with a handful of JVM calls instead of thousands.
+    violation_sql: str | None = None
+    value_sql: str | None = None
+
+    def violation_col(self) -> Column:
+        return F.expr(self.violation_sql) if self.violation_sql else self.violation
+
+    def value_expr(self) -> str | Column | None:
+        return self.value_sql if self.value_sql else self.value
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit_sql(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, float):
+        return f"{v!r}D"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def null_rule(column: str) -> Rule:
@@ -62,21 +86,21 @@ def null_rule(column: str) -> Rule:
         severity=CRITICAL,
         column=column,
         message=f"NULL found in required column '{column}'",
-        violation=F.col(column).isNull(),
+        violation_sql=f"{_q(column)} IS NULL",
     )
 
 
 def range_rule(column: str, lo, hi, critical: bool = True) -> Rule:
     """Out of [lo, hi]; NULL never violates (pandas comparisons with NA are false)."""
-    c = F.col(column)
+    c = _q(column)
     return Rule(
         rule_id=f"range_{column}",
         check="RANGE_VIOLATION",
         severity=CRITICAL if critical else WARNING,
         column=column,
         message=f"'{column}' out of range [{lo}, {hi}]",
-        violation=F.coalesce((c < F.lit(lo)) | (c > F.lit(hi)), F.lit(False)),
-        value=c.cast("double"),
+        violation_sql=f"coalesce({c} < {_lit_sql(lo)} OR {c} > {_lit_sql(hi)}, false)",
+        value_sql=f"CAST({c} AS DOUBLE)",
         valid_range=(float(lo), float(hi)),
     )
 
@@ -89,7 +113,7 @@ def short_text_rule(column: str, min_length: int = MIN_CITY_LENGTH) -> Rule:
         severity=WARNING,
         column=column,
         message=f"City names with < {min_length} characters found",
-        violation=F.coalesce(F.length(F.col(column)) < min_length, F.lit(False)),
+        violation_sql=f"coalesce(length({_q(column)}) < {int(min_length)}, false)",
     )
 
 
@@ -104,7 +128,7 @@ def duplicate_rule(keys=DUPLICATE_KEY) -> Rule:
         severity=CRITICAL,
         column=",".join(keys),
         message=f"Duplicate records found on {list(keys)}. Keeping first occurrence.",
-        violation=F.col("_is_duplicate"),
+        violation_sql="_is_duplicate",
     )
 
 
@@ -192,39 +216,34 @@ def validate(df: DataFrame, rules: list[Rule] | None = None, order_col: str = "o
     if dup:
         keys = tuple(dup[0].column.split(","))
         flagged = mark_duplicates(flagged, keys, order_col)
-    flagged = flagged.select(
-        "*", *[r.violation.alias(f"f_{r.rule_id}") for r in rules]
-    )
-    crit = [F.col(f"f_{r.rule_id}") for r in rules if r.severity == CRITICAL]
-    any_crit = F.lit(False)
-    for c in crit:
-        any_crit = any_crit | c
-    issue_list = F.concat_ws(
-        ",", *[F.when(F.col(f"f_{r.rule_id}"), F.lit(r.rule_id)) for r in rules]
-    )
-    flagged = flagged.select("*", any_crit.alias("critical"), issue_list.alias("issue_list"))
+    flagged = flagged.select("*", *[r.violation_col().alias(f"f_{r.rule_id}") for r in rules])
+    crit = " OR ".join(_q(f"f_{r.rule_id}") for r in rules if r.severity == CRITICAL) or "false"
+    issue_list = ", ".join(f"CASE WHEN {_q('f_' + r.rule_id)} THEN {_lit_sql(r.rule_id)} END" for r in rules)
+    flagged = flagged.selectExpr("*", f"({crit}) AS critical", f"concat_ws(',', {issue_list}) AS issue_list")
     return Validation(flagged=flagged, rules=rules, columns=columns, id_col=id_col)
 
 
 def _rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
     """One row with count / id span / value span per rule (single partial aggregate)."""
-    aggs = []
+    o = _q(order_col)
+    aggs: list = []
     for r in rules:
-        f = F.col(f"f_{r.rule_id}")
-        aggs += [
-            F.count_if(f).alias(f"{r.rule_id}__n"),
-            F.min(F.when(f, F.col(order_col))).alias(f"{r.rule_id}__first"),
-            F.max(F.when(f, F.col(order_col))).alias(f"{r.rule_id}__last"),
-        ]
-        v = r.value if r.value is not None else F.lit(None).cast("double")
+        f, rid = _q(f"f_{r.rule_id}"), r.rule_id
         aggs += [
-            F.min(F.when(f, v)).alias(f"{r.rule_id}__vmin"),
-            F.max(F.when(f, v)).alias(f"{r.rule_id}__vmax"),
+            F.expr(f"count_if({f}) AS {_q(rid + '__n')}"),
+            F.expr(f"min(CASE WHEN {f} THEN {o} END) AS {_q(rid + '__first')}"),
+            F.expr(f"max(CASE WHEN {f} THEN {o} END) AS {_q(rid + '__last')}"),
         ]
-    aggs += [
-        F.count(F.lit(1)).alias("__original"),
-        F.count_if(~F.col("critical")).alias("__clean"),
-    ]
+        v = r.value_expr()
+        if isinstance(v, Column):
+            aggs += [F.min(F.when(F.col(f"f_{rid}"), v)).alias(f"{rid}__vmin"), F.max(F.when(F.col(f"f_{rid}"), v)).alias(f"{rid}__vmax")]
+        else:
+            vs = v or "CAST(NULL AS DOUBLE)"
+            aggs += [
+                F.expr(f"min(CASE WHEN {f} THEN {vs} END) AS {_q(rid + '__vmin')}"),
+                F.expr(f"max(CASE WHEN {f} THEN {vs} END) AS {_q(rid + '__vmax')}"),
+            ]
+    aggs += [F.expr("count(1) AS __original"), F.expr("count_if(NOT critical) AS __clean")]
     return flagged.agg(*aggs)
 
 
@@ -233,57 +252,45 @@ def issues_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id
     entries = []
     for pos, r in enumerate(rules):
         lo, hi = r.valid_range if r.valid_range else (None, None)
+        rid = r.rule_id
         entries.append(
-            F.struct(
-                F.lit(pos).alias("rule_order"),
-                F.lit(r.check).alias("check"),
-                F.lit(r.column).cast("string").alias("column"),
-                F.lit(r.severity).alias("severity"),
-                F.lit(lo).cast("double").alias("valid_min"),
-                F.lit(hi).cast("double").alias("valid_max"),
-                F.col(f"{r.rule_id}__n").alias("affected_rows"),
-                F.col(f"{r.rule_id}__first").alias("first_row_id"),
-                F.col(f"{r.rule_id}__last").alias("last_row_id"),
-                F.col(f"{r.rule_id}__vmin").alias("min_value"),
-                F.col(f"{r.rule_id}__vmax").alias("max_value"),
-                F.lit(r.message).alias("message"),
-            )
+            "named_struct("
+            f"'rule_order', {pos}, 'check', {_lit_sql(r.check)}, 'column', CAST({_lit_sql(r.column)} AS STRING), "
+            f"'severity', {_lit_sql(r.severity)}, 'valid_min', CAST({_lit_sql(lo)} AS DOUBLE), "
+            f"'valid_max', CAST({_lit_sql(hi)} AS DOUBLE), 'affected_rows', {_q(rid + '__n')}, "
+            f"'first_row_id', {_q(rid + '__first')}, 'last_row_id', {_q(rid + '__last')}, "
+            f"'min_value', CAST({_q(rid + '__vmin')} AS DOUBLE), 'max_value', CAST({_q(rid + '__vmax')} AS DOUBLE), "
+            f"'message', {_lit_sql(r.message)})"
         )
     return (
-        stats.select(F.explode(F.array(*entries)).alias("i"))
-        .select("i.*")
-        .where(F.col("affected_rows") > 0)
+        stats.selectExpr(f"explode(array({', '.join(entries)})) AS i")
+        .selectExpr("i.*")
+        .where("affected_rows > 0")
     )
 
 
 def summary_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
     stats = _rule_stats(flagged, rules, order_col)
-    hit = {r.rule_id: (F.col(f"{r.rule_id}__n") > 0).cast("int") for r in rules}
-
-    def total(sel):
-        acc = F.lit(0)
-        for r in rules:
-            if sel(r):
-                acc = acc + hit[r.rule_id]
-        return acc
-
-    original = F.col("__original")
-    clean = F.col("__clean")
-    dropped = original - clean
-    return stats.select(
-        original.alias("original_record_count"),
-        clean.alias("clean_record_count"),
-        dropped.alias("dropped_record_count"),
-        X.percent(clean, original).alias("pass_rate_pct"),
-        total(lambda r: True).alias("total_issues"),
-        total(lambda r: r.severity == CRITICAL).alias("critical_issues"),
-        total(lambda r: r.severity == WARNING).alias("warning_issues"),
-        F.when(original == 0, "SKIPPED").when(dropped == 0, "PASSED").otherwise("PARTIAL").alias("status"),
+
+    def total(sel) -> str:
+        hits = [f"CAST({_q(r.rule_id + '__n')} > 0 AS INT)" for r in rules if sel(r)]
+        return " + ".join(hits) if hits else "0"
+
+    return stats.selectExpr(
+        "__original AS original_record_count",
+        "__clean AS clean_record_count",
+        "__original - __clean AS dropped_record_count",
+        "CASE WHEN __original > 0 THEN rint(CAST(__clean AS DOUBLE) / __original * 100D * 10D) / 10D ELSE 0D END"
+        " AS pass_rate_pct",
+        f"{total(lambda r: True)} AS total_issues",
+        f"{total(lambda r: r.severity == CRITICAL)} AS critical_issues",
+        f"{total(lambda r: r.severity == WARNING)} AS warning_issues",
+        "CASE WHEN __original = 0 THEN 'SKIPPED' WHEN __original - __clean = 0 THEN 'PASSED' ELSE 'PARTIAL' END AS status",
     )
 
 
 def null_counts_frame(clean: DataFrame, columns: list[str]) -> DataFrame:
     """NULL count per column of the clean rows, only columns with a count > 0."""
-    counts = clean.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("null_count")) for c in columns])
-    return counts.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("null_count") > 0)
+    counts = clean.agg(*[F.expr(f"count_if({_q(c)} IS NULL) AS {_q(c)}") for c in columns])
+    pairs = ", ".join(f"named_struct('column', {_lit_sql(c)}, 'null_count', {_q(c)})" for c in columns)
+    return counts.selectExpr(f"explode(array({pairs})) AS p").selectExpr("p.*").where("null_count > 0")
