@@ -152,7 +152,7 @@ def q_dq_nulls(spark, sf):
 def _range_detail(column: str, lo, hi):
     def fn(spark, sf):
         rule = quality.range_rule(column, lo, hi)
-        return V.obs(spark, sf).where(rule.violation).select("obs_id", F.col(column).alias("value"))
+        return V.obs(spark, sf).where(rule.violation_col()).select("obs_id", F.col(column).alias("value"))
 
     sql = f"SELECT obs_id, {column} AS value FROM obs WHERE {column} < {lo} OR {column} > {hi}"
     return fn, sql
@@ -187,7 +187,7 @@ SELECT obs_id, city FROM obs WHERE length(city) < 2
 )
 def q_dq_city_name(spark, sf):
     rule = quality.short_text_rule("city")
-    return V.obs(spark, sf).where(rule.violation).select("obs_id", "city")
+    return V.obs(spark, sf).where(rule.violation_col()).select("obs_id", "city")
 
 
 @query("dq_clean", f"SELECT {OBS_FINAL} FROM clean")
