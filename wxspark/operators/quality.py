@@ -217,7 +217,11 @@ def validate(df: DataFrame, rules: list[Rule] | None = None, order_col: str = "o
         keys = tuple(dup[0].column.split(","))
         flagged = mark_duplicates(flagged, keys, order_col)
     flagged = flagged.select("*", *[r.violation_col().alias(f"f_{r.rule_id}") for r in rules])
-    crit = " OR ".join(_q(f"f_{r.rule_id}") for r in rules if r.severity == CRITICAL) or "false"
+    # One predicate over all critical flags (a count, not an OR): it cannot be split into
+    # per-column conjuncts, so the clean/quarantine filter stays above the duplicate join
+    # and every flag expression is evaluated once, in the same parallel stage.
+    crit_hits = " + ".join(f"CAST({_q('f_' + r.rule_id)} AS INT)" for r in rules if r.severity == CRITICAL)
+    crit = f"{crit_hits} > 0" if crit_hits else "false"
     issue_list = ", ".join(f"CASE WHEN {_q('f_' + r.rule_id)} THEN {_lit_sql(r.rule_id)} END" for r in rules)
     flagged = flagged.selectExpr("*", f"({crit}) AS critical", f"concat_ws(',', {issue_list}) AS issue_list")
     return Validation(flagged=flagged, rules=rules, columns=columns, id_col=id_col)

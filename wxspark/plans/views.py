@@ -1,33 +1,57 @@
 """Shared lazy views over the given tables: raw observations -> transformed -> validated
 -> clean -> stored. Each registered query starts from one of these, so the whole chain is
-one Catalyst plan per query (no intermediate materialisation, no driver round trip)."""
+one Catalyst plan per query (no intermediate materialisation, no driver round trip).
+
+The chain is built once per session and input folder and then reused, as a temp view
+would be: a view is a lazy plan, not data, so reuse only saves the client-side plan
+construction (hundreds of JVM calls per view). Like a temp view over files, it keeps the
+file listing of its first use; call :func:`refresh` after the input files change.
+"""
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wxspark.operators import quality, transform
 from wxspark.sources.observations import observations
 
+_CHAIN: dict[tuple, object] = {}
+
+
+def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), name)
+    hit = _CHAIN.get(key)
+    if hit is None:
+        hit = _CHAIN[key] = build()
+    return hit
+
+
+def refresh() -> None:
+    """Forget every built view (the next use re-lists the input files)."""
+    _CHAIN.clear()
+
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir)
+    return _memo(spark, sf_dir, "obs", lambda: observations(spark, sf_dir))
 
 
 def transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations with ``heat_index_c`` and ``comfort_level`` (batch profile)."""
-    return transform.add_derived(obs(spark, sf_dir))
+    return _memo(spark, sf_dir, "transformed", lambda: transform.add_derived(obs(spark, sf_dir)))
 
 
 def validation(spark: SparkSession, sf_dir: str) -> quality.Validation:
-    return quality.validate(transformed(spark, sf_dir))
+    return _memo(spark, sf_dir, "validation", lambda: quality.validate(transformed(spark, sf_dir)))
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validation(spark, sf_dir).clean
+    return _memo(spark, sf_dir, "clean", lambda: validation(spark, sf_dir).clean)
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the keyed load leaves in an empty table for the clean rows (keys are unique
     after validation, so insert-if-absent keeps every clean row)."""
-    return transform.to_stored(clean(spark, sf_dir))
+    return _memo(spark, sf_dir, "stored", lambda: transform.to_stored(clean(spark, sf_dir)))

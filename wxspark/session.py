@@ -24,6 +24,10 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # AQE may merge small shuffle partitions, but not below 256 KB each: the stages after
+    # the duplicate join are CPU-bound (flags, heat index), so a few MB of shuffle output
+    # should still spread over the cores instead of collapsing into one or two tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
