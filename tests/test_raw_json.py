@@ -24,7 +24,7 @@ MOCK = {
 
 def parse(spark, docs):
     df = spark.createDataFrame([(i, d if isinstance(d, str) else json.dumps(d)) for i, d in enumerate(docs)], "i int, doc string")
-    raw = df.select("i", raw_json.parse_json(F.col("doc")).alias("r")).select("i", "r.*")
+    raw = raw_json.parse_docs(df, F.col("doc"), keep=("i",))
     good, bad = raw_json.split_raw(raw, keep=("i",))
     return {r.i: r for r in good.collect()}, {r.i: r.reason for r in bad.collect()}
 
@@ -99,12 +99,12 @@ def test_landing_files_json_lines_and_arrays(spark, tmp_dir):
 
 def test_live_profile(spark):
     df = spark.createDataFrame([(json.dumps(variant(main__temp=26.5, main__temp_min=KeyError)),)], "doc string")
-    raw = df.select(raw_json.parse_json(F.col("doc")).alias("r")).select("r.*")
+    raw = raw_json.parse_docs(df, F.col("doc"))
     now = datetime(2024, 9, 15, 15, 0)
     r = raw_json.flatten_live(raw, F.lit(now)).first()
     assert r.temperature_c == 26.0 and r.temp_min_c == 26.0 and r.feels_like_c == 40.0  # half-even
     assert r.comfort_level == "Warm" and r.weather_description == "overcast clouds"
     assert r.recorded_at == now and r.wind_direction_deg is None and r.heat_index_c is None
     missing = spark.createDataFrame([(json.dumps(variant(wind=KeyError)),)], "doc string")
-    raw2 = missing.select(raw_json.parse_json(F.col("doc")).alias("r")).select("r.*")
+    raw2 = raw_json.parse_docs(missing, F.col("doc"))
     assert raw_json.flatten_live(raw2, F.lit(now)).count() == 0

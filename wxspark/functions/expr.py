@@ -92,8 +92,7 @@ def exact_mean(x, decimals: int) -> Column:
 
 def nan_to_null(x) -> Column:
     """pandas treats NaN as missing; Spark does not. Normalise at ingestion."""
-    c = _c(x)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
+    return F.nanvl(_c(x), F.lit(None).cast("double"))
 
 
 def to_double(x) -> Column:

@@ -581,9 +581,7 @@ def _raw_docs(spark, sf):
 
 def _parsed(spark, sf):
     d = _raw_docs(spark, sf)
-    return d.select("obs_id", "inserted_at", raw_json.parse_json(F.col("doc")).alias("r")).select(
-        "obs_id", "inserted_at", "r.*"
-    )
+    return raw_json.parse_docs(d, F.col("doc"), keep=("obs_id", "inserted_at"))
 
 
 TITLE_SQL = (
@@ -624,7 +622,7 @@ def q_raw_json_rejects(spark, sf):
     cut = F.when(F.col("doc").contains('"main":{"feels_like"'), F.expr("substr(doc, 1, length(doc) - 1)")).otherwise(
         F.col("doc")
     )
-    parsed = d.select("obs_id", "inserted_at", raw_json.parse_json(cut).alias("r")).select("obs_id", "inserted_at", "r.*")
+    parsed = raw_json.parse_docs(d, cut, keep=("obs_id", "inserted_at"))
     _, bad = raw_json.split_raw(parsed, keep=("obs_id",))
     return bad.select("obs_id", "reason")
 

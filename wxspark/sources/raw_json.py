@@ -64,6 +64,17 @@ def parse_json(text: Column) -> Column:
     return F.from_json(text, RAW, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
+def parse_docs(df: DataFrame, text: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of JSON text -> ``keep`` columns + the RAW columns, parsed once per row.
+
+    A filter on parsed fields (the reject split) would otherwise be pushed below the
+    parse by alias substitution, so every reference to the parsed struct would parse the
+    text again. A one-element ``inline`` is a generator: filters on its output stay
+    above it, and the document is parsed exactly once.
+    """
+    return df.select(*keep, F.inline(F.array(parse_json(text))))
+
+
 def _first_weather() -> Column:
     return F.get(F.col("weather"), 0)
 
