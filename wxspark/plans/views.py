@@ -14,8 +14,10 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wxspark.operators import quality, transform
+from wxspark.sources import raw_json
 from wxspark.sources.observations import observations
 
 _CHAIN: dict[tuple, object] = {}
@@ -55,3 +57,23 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the keyed load leaves in an empty table for the clean rows (keys are unique
     after validation, so insert-if-absent keeps every clean row)."""
     return _memo(spark, sf_dir, "stored", lambda: transform.to_stored(clean(spark, sf_dir)))
+
+
+def raw_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each observation as the raw JSON document the provider would have sent."""
+
+    def build() -> DataFrame:
+        o = obs(spark, sf_dir)
+        return o.select("obs_id", "inserted_at", raw_json.observation_to_raw(o).alias("doc"))
+
+    return _memo(spark, sf_dir, "raw_docs", build)
+
+
+def parsed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_docs`` parsed back with the tolerant RAW schema (one parse per document)."""
+    return _memo(
+        spark,
+        sf_dir,
+        "parsed_docs",
+        lambda: raw_json.parse_docs(raw_docs(spark, sf_dir), F.col("doc"), keep=("obs_id", "inserted_at")),
+    )

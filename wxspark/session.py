@@ -33,6 +33,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet written by pandas carries naive timestamps: keep them NTZ.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # PySpark's call-site capture costs ~10 JVM round trips per Column function call
+    # (F.col, F.when, ...): most of the client-side plan construction time. Errors then
+    # carry no Python call site. Sessions handed to the engine keep their own setting.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
