@@ -62,3 +62,17 @@ def test_load_failure_falls_back_to_clean_rows(spark, tmp_dir):
     res = R.run_batch(spark, landing, blocked, f"{tmp_dir}/out", run_ts=datetime(2024, 2, 1))
     assert res.status == "SUCCESS" and "error" in res.stages["load"]
     assert len(res.outputs["reports"]) == 7
+
+
+def test_cluster_session_without_checkpoint_dir_is_an_error():
+    # A driver-local folder would be invisible to executors: only local mode may fall back.
+    import pytest
+    from types import SimpleNamespace
+
+    from wxspark.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(master="spark://cluster:7077", getConf=lambda: conf)
+    fake = SimpleNamespace(conf=conf, sparkContext=sc)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake)

@@ -64,13 +64,20 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    On a cluster this setting must point at shared storage and is only read here. Only
-    when it is unset (local tests) a private folder is created and registered.
+    On a cluster this setting must point at shared storage and is only read here; a
+    cluster session without it is an error (a driver-local folder is not visible to the
+    executors and does not survive the driver). Only a local-mode session (tests, bench)
+    without the setting gets a private folder, created and registered here.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at shared storage (e.g. the cluster's "
+                "distributed file system) before running jobs that cut lineage"
+            )
         configured = tempfile.mkdtemp(prefix="wxspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
