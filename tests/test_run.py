@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from wxspark.operators import load as L
+from wxspark.operators import reports
 from wxspark.plans import run as R
 from wxspark.plans import views as V
 from wxspark.sources import raw_json, sinks
@@ -29,6 +30,13 @@ def test_run_batch_end_to_end_and_rerun_is_idempotent(spark, tmp_dir):
     assert first_load["inserted"] == res.stages["validate"]["clean_record_count"]
     assert len(res.outputs["reports"]) == 7
     assert spark.read.parquet(f"{out}/rejects").count() == 1
+    # the CSV is copied from the report's single parquet file: same rows, same order
+    csv_dir = f"{out}/reports/run_id=20240201_000000/city_temperature_summary/csv"
+    part = [p for p in os.listdir(csv_dir) if p.startswith("part-") and p.endswith(".csv")]
+    assert len(part) == 1
+    csv_cities = [line.split(",")[0].strip('"') for line in open(os.path.join(csv_dir, part[0])).read().splitlines()[1:]]
+    expected = [r.city for r in reports.city_temperature_summary(L.read_table(spark, table)).collect()]
+    assert csv_cities == expected
     summary = json.loads(open([os.path.join(f"{out}/validation_summary", p) for p in os.listdir(f"{out}/validation_summary") if p.endswith(".json")][0]).readline())
     assert summary["original_record_count"] == 1000
     res2 = R.run_batch(spark, landing, table, out, run_ts=datetime(2024, 2, 1, 1, 0))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -35,15 +35,21 @@ def write_json(df: DataFrame, path: str) -> None:
 def export_reports(reports: dict[str, DataFrame], out_dir: str, run_ts=None, total_records: DataFrame | None = None) -> list[str]:
     """One folder per non-empty report (parquet + single-file CSV) and a ``metadata`` row.
 
-    Report names become folder names (spaces -> underscores, lower case).
+    Report names become folder names (spaces -> underscores, lower case). Each report is
+    computed once: its (small, already aggregated and sorted) rows are written as one
+    parquet file, in order, while its row count is observed on the same pass; the CSV is
+    then copied from that file instead of recomputing the report from the source table.
+    An empty report leaves an empty parquet folder and is not listed.
     """
     written = []
     for name, df in reports.items():
-        if df.isEmpty():
-            continue
         slug = name.lower().replace(" ", "_")
-        df.write.mode("overwrite").parquet(os.path.join(out_dir, slug, "parquet"))
-        write_csv(df, os.path.join(out_dir, slug, "csv"), single_file=True)
+        pq = os.path.join(out_dir, slug, "parquet")
+        rows = Observation(f"rows_{slug}")
+        df.coalesce(1).observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(pq)
+        if int(rows.get.get("n", 0)) == 0:
+            continue
+        write_csv(df.sparkSession.read.parquet(pq), os.path.join(out_dir, slug, "csv"), single_file=True)
         written.append(slug)
     if total_records is not None:
         meta = total_records
