@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wxspark.functions import expr as X
 
@@ -65,19 +64,25 @@ def wind_speed_analysis(df: DataFrame) -> DataFrame:
 def common_weather_conditions(df: DataFrame) -> DataFrame:
     """Most frequent condition per city; ties go to the alphabetically first condition.
 
-    The per-(city, condition) counts are a small aggregate (one row per pair); the
-    ranking window runs on that, never on the observations.
+    The per-(city, condition) counts are a small aggregate (one row per pair). The pick
+    per city is ``min(struct(-occurrences, condition))``: the smallest negated count is
+    the largest count, and equal counts fall to the smaller condition. It is an
+    algebraic aggregate with partials per task, so no window and no sort are needed.
     """
     counts = (
         df.where(F.col("city").isNotNull() & F.col("weather_condition").isNotNull())
         .groupBy("city", "weather_condition")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
-    w = Window.partitionBy("city").orderBy(F.desc("occurrences"), F.asc("weather_condition"))
+    best = F.min(F.struct((-F.col("occurrences")).alias("neg"), F.col("weather_condition").alias("condition")))
     return (
-        counts.withColumn("_rank", F.row_number().over(w))
-        .where(F.col("_rank") == 1)
-        .select("city", F.col("weather_condition").alias("most_common_condition"), "occurrences")
+        counts.groupBy("city")
+        .agg(best.alias("_best"))
+        .select(
+            "city",
+            F.col("_best.condition").alias("most_common_condition"),
+            (-F.col("_best.neg")).alias("occurrences"),
+        )
         .orderBy("city")
     )
 
