@@ -39,6 +39,8 @@ def test_run_batch_end_to_end_and_rerun_is_idempotent(spark, tmp_dir):
     assert csv_cities == expected
     summary = json.loads(open([os.path.join(f"{out}/validation_summary", p) for p in os.listdir(f"{out}/validation_summary") if p.endswith(".json")][0]).readline())
     assert summary["original_record_count"] == 1000
+    issues = spark.read.json(f"{out}/validation_issues")
+    assert issues.count() == summary["total_issues"]
     res2 = R.run_batch(spark, landing, table, out, run_ts=datetime(2024, 2, 1, 1, 0))
     assert res2.stages["load"]["inserted"] == 0
     assert L.read_table(spark, table).count() == first_load["inserted"]

@@ -251,8 +251,17 @@ def _rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id"
     return flagged.agg(*aggs)
 
 
+def rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
+    """The one-row statistics both :func:`issues_frame` and :func:`summary_frame` derive
+    from; materialise it once when both are needed (one pass over the flagged rows)."""
+    return _rule_stats(flagged, rules, order_col)
+
+
 def issues_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
-    stats = _rule_stats(flagged, rules, order_col)
+    return issues_from_stats(_rule_stats(flagged, rules, order_col), rules)
+
+
+def issues_from_stats(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     entries = []
     for pos, r in enumerate(rules):
         lo, hi = r.valid_range if r.valid_range else (None, None)
@@ -274,8 +283,10 @@ def issues_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id
 
 
 def summary_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
-    stats = _rule_stats(flagged, rules, order_col)
+    return summary_from_stats(_rule_stats(flagged, rules, order_col), rules)
+
 
+def summary_from_stats(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     def total(sel) -> str:
         hits = [f"CAST({_q(r.rule_id + '__n')} > 0 AS INT)" for r in rules if sel(r)]
         return " + ".join(hits) if hits else "0"

@@ -75,10 +75,16 @@ def run_batch(
     v = v.with_flagged(spark.read.parquet(flagged_path))
     v.columns = [c for c in v.columns if c != "ingest_seq"]
 
-    summary_row = v.summary().first().asDict()
+    # one pass over the flagged rows for the rule statistics (a single row, written next
+    # to them); summary and issue list are both derived from that row
+    stats_path = scratch_path(spark, f"rule_stats/run_id={run_id}")
+    quality.rule_stats(v.flagged, v.rules, v.id_col).write.mode("overwrite").parquet(stats_path)
+    stats = spark.read.parquet(stats_path)
+    summary = quality.summary_from_stats(stats, v.rules)
+    summary_row = summary.first().asDict()
     result.stages["validate"] = summary_row
-    sinks.write_json(v.summary(), os.path.join(out_dir, "validation_summary"))
-    sinks.write_json(v.issues(), os.path.join(out_dir, "validation_issues"))
+    sinks.write_json(summary, os.path.join(out_dir, "validation_summary"))
+    sinks.write_json(quality.issues_from_stats(stats, v.rules), os.path.join(out_dir, "validation_issues"))
     v.quarantine.write.mode("overwrite").parquet(os.path.join(out_dir, "quarantine"))
     rejects.write.mode("overwrite").parquet(os.path.join(out_dir, "rejects"))
     result.outputs["validation"] = os.path.join(out_dir, "validation_summary")
