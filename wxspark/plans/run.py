@@ -35,9 +35,19 @@ class RunResult:
         return spark.createDataFrame(rows, "run_id string, stage string, metric string, value double")
 
 
-def ingest(spark: SparkSession, landing: str, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(observations with ``obs_id``/``ingest_seq``, rejects) from the landing folder."""
+def ingest(
+    spark: SparkSession, landing: str, multiline: bool = False, stage_path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(observations with ``obs_id``/``ingest_seq``, rejects) from the landing folder.
+
+    With ``stage_path`` the landing JSON is parsed once into a parquet stage there and
+    both outputs read the stage: the JSON is not parsed a second time for the rejects,
+    and the read position ``raw_pos`` is fixed once for both.
+    """
     raw = raw_json.read_raw(spark, landing, multiline)
+    if stage_path is not None:
+        raw.write.mode("overwrite").parquet(stage_path)
+        raw = spark.read.parquet(stage_path)
     good, bad = raw_json.split_raw(raw, keep=("source_file", "raw_pos", "_extracted_at"))
     obs = transform.add_derived(good).select(
         "*",
@@ -61,8 +71,8 @@ def run_batch(
     run_id = run_ts.strftime("%Y%m%d_%H%M%S")
     result = RunResult(status="RUNNING", run_id=run_id)
 
-    # extract + transform: one JSON pass, counted while it runs
-    obs, rejects = ingest(spark, landing, multiline)
+    # extract + transform: one JSON pass into a parquet stage, then good rows and rejects
+    obs, rejects = ingest(spark, landing, multiline, stage_path=scratch_path(spark, f"raw/run_id={run_id}"))
     v = quality.validate(obs.withColumn("inserted_at", F.lit(run_ts).cast("timestamp_ntz")), order_col="ingest_seq")
 
     # lineage cut: flagged rows written once to the shared checkpoint folder
