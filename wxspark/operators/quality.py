@@ -227,8 +227,11 @@ def validate(df: DataFrame, rules: list[Rule] | None = None, order_col: str = "o
     return Validation(flagged=flagged, rules=rules, columns=columns, id_col=id_col)
 
 
-def _rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
-    """One row with count / id span / value span per rule (single partial aggregate)."""
+def rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
+    """One row with count / id span / value span per rule (single partial aggregate).
+
+    Both the issue list and the summary derive from it; materialise it once when both
+    are needed (one pass over the flagged rows)."""
     o = _q(order_col)
     aggs: list = []
     for r in rules:
@@ -251,14 +254,8 @@ def _rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id"
     return flagged.agg(*aggs)
 
 
-def rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
-    """The one-row statistics both :func:`issues_frame` and :func:`summary_frame` derive
-    from; materialise it once when both are needed (one pass over the flagged rows)."""
-    return _rule_stats(flagged, rules, order_col)
-
-
 def issues_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
-    return issues_from_stats(_rule_stats(flagged, rules, order_col), rules)
+    return issues_from_stats(rule_stats(flagged, rules, order_col), rules)
 
 
 def issues_from_stats(stats: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -283,7 +280,7 @@ def issues_from_stats(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def summary_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
-    return summary_from_stats(_rule_stats(flagged, rules, order_col), rules)
+    return summary_from_stats(rule_stats(flagged, rules, order_col), rules)
 
 
 def summary_from_stats(stats: DataFrame, rules: list[Rule]) -> DataFrame:
