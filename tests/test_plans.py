@@ -35,3 +35,25 @@ def test_views_are_built_once_per_session_and_folder(spark):
     again = V.stored(spark, SF_SMALL)
     assert again is not first
     assert sorted(again.columns) == sorted(first.columns)
+
+
+def test_most_common_condition_needs_no_window(spark):
+    # min(struct(-occurrences, condition)) per city: an aggregate, never a city window
+    plan = optimized(E.queries()["common_weather_conditions"](spark, SF_SMALL))
+    assert "Window" not in plan
+
+
+def test_run_driver_stages_landing_json_once(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from wxspark.plans import run as R
+    from wxspark.sources import raw_json, sinks
+
+    landing, stage = f"{tmp_dir}/landing", f"{tmp_dir}/stage"
+    o = V.obs(spark, SF_SMALL)
+    sinks.write_landing(o.select(raw_json.observation_to_raw(o).alias("doc"), F.col("inserted_at").alias("ingest_ts")), landing)
+    good, bad = R.ingest(spark, landing, stage_path=stage)
+    # both outputs read the parquet stage, not the JSON files
+    for df in (good, bad):
+        assert "JSON" not in df._jdf.queryExecution().executedPlan().toString()
+    assert good.count() + bad.count() == spark.read.parquet(stage).count() == 1000
