@@ -61,21 +61,29 @@ def top_cities(df: DataFrame, k: int = TOP_CITIES) -> DataFrame:
 def hourly_activity(df: DataFrame, time_col: str = "inserted_at") -> DataFrame:
     """Readings per hour with zero-filled gaps between the first and last hour.
 
-    The hour spine comes from ``sequence(min, max)`` of a one-row aggregate, so its size is
-    the number of hours in the range, independent of the row count; it is joined to the
-    per-hour counts (one row per hour), never to the observations.
+    One pass: per-hour counts (partial + final aggregate), then one global aggregate
+    gathers the (hour, count) pairs into a map. That row holds one entry per hour that
+    has readings, bounded by the hours in the range (the same bound as the hour spine),
+    never by the row count. The spine ``sequence(first, last)`` is exploded and each
+    hour looks its count up in the map (0 when absent), so there is no join and no
+    second read of the input.
     """
     hour = X.trunc_hour_ntz(time_col)
-    timed = df.where(F.col(time_col).isNotNull()).select(hour.alias("Hour"))
-    counts = timed.groupBy("Hour").agg(F.count(F.lit(1)).alias("_n"))
-    spine = timed.agg(F.min("Hour").alias("lo"), F.max("Hour").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("Hour")
+    counts = (
+        df.where(F.col(time_col).isNotNull())
+        .groupBy(hour.alias("Hour"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return (
-        spine.join(counts, "Hour", "left")
-        .select("Hour", F.coalesce("_n", F.lit(0)).cast("bigint").alias("Searches"))
-        .orderBy("Hour")
+    hours = counts.agg(F.map_from_entries(F.collect_list(F.struct("Hour", "_n"))).alias("_m"))
+    spine = hours.select(
+        "_m",
+        F.explode(
+            F.sequence(F.array_min(F.map_keys("_m")), F.array_max(F.map_keys("_m")), F.expr("INTERVAL 1 HOUR"))
+        ).alias("Hour"),
     )
+    return spine.select(
+        "Hour", F.coalesce(F.try_element_at("_m", F.col("Hour")), F.lit(0)).cast("bigint").alias("Searches")
+    ).orderBy("Hour")
 
 
 def hourly_window_counts(df: DataFrame, time_col: str = "inserted_at") -> DataFrame:
