@@ -8,6 +8,7 @@ from ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,23 +67,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this setting must point at shared storage and is only read here; a
     cluster session without it is an error (a driver-local folder is not visible to the
-    executors and does not survive the driver). Only a local-mode session (tests, bench)
-    without the setting gets a private folder, created and registered here.
+    executors and does not survive the driver). Only a local-mode session (tests, bench),
+    whose executor is the driver itself, gets a private folder where none is set.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    registered = context.getCheckpointDir()
+    if not configured and not registered:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: point it at shared storage (e.g. the cluster's "
                 "distributed file system) before running jobs that cut lineage"
             )
         configured = tempfile.mkdtemp(prefix="wxspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    if not registered:
+        context.setCheckpointDir(configured)
+    return configured or registered
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
