@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from wxspark.llm import chat, mixing
+from wxspark.llm import chat, mixing, quality, simhash
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_simhash": simhash.op2_simhash,
     "op4_chat": chat.op4_chat,
+    "op5_quality": quality.op5_quality,
 }
 
 ORACLE = {
