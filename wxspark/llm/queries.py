@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from wxspark.llm import chat, mixing, quality, simhash
+from wxspark.llm import chat, mixing, packing, quality, rans, simhash
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_simhash": simhash.op2_simhash,
     "op4_chat": chat.op4_chat,
     "op5_quality": quality.op5_quality,
+    "op6_rans": rans.op6_rans,
+    "op7_packing": packing.op7_packing,
 }
 
 ORACLE = {
