@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from wxspark.llm import chat, mixing, packing, quality, rans, simhash
+from wxspark.llm import bloom, chat, language, mixing, neighbours, packing, quality, rans, simhash, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_simhash": simhash.op2_simhash,
+    "op3_language": language.op3_language,
     "op4_chat": chat.op4_chat,
     "op5_quality": quality.op5_quality,
     "op6_rans": rans.op6_rans,
     "op7_packing": packing.op7_packing,
+    "op8_bloom": bloom.op8_bloom,
+    "op9_neighbours": neighbours.op9_neighbours,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {

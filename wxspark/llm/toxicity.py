@@ -1,18 +1,21 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A text is read in overlapping windows of words. A word's input is its own vector (one for
-all words outside the vocabulary) and the mean vector of its letter triples. Two gated
+all words outside the vocabulary) and the mean vector of its byte triples and beginnings. Two gated
 recurrent layers read a window, one from each end; attention weighs their states into one
 vector, and a logistic unit scores it. A document has the score of its highest window.
 
-Labels are of documents, so training goes in rounds: windows first bear their document's
-label; then those windows of toxic documents that the network finds harmless are dropped,
-save each document's highest, and training goes on.
+Labels are of documents, so training goes in rounds. The first takes as toxic those windows
+of toxic documents that hold a word, or a word's beginning, whose document counts lean to
+them most; the next ones
+those that the network itself scores over nearly all windows of the others. Windows of
+toxic documents that are not taken teach nothing.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,13 +27,18 @@ from pyspark.sql import functions as F
 from wxspark.llm.common import read, without
 from wxspark.llm.language import held_out
 
-WIDTH, STRIDE = 48, 36
-WORD_DIMS, TRIPLE_DIMS, TRIPLES, HIDDEN = 16, 8, 2048, 8
-#: Labelled documents of either label that training reads, at most, windows of each, at
+WIDTH, STRIDE = 96, 72
+WORD_DIMS, TRIPLE_DIMS, TRIPLES, HIDDEN = 16, 8, 8192, 8
+#: Bytes of a word's beginnings, its mark included.
+BEGINNINGS = (6, 8)
+#: Labelled documents, harmless and toxic, that training reads, at most, windows of each, at
 #: most (the first by a hash), and words of the vocabulary, at most (the most frequent).
-SAMPLE, SAMPLE_WINDOWS, VOCABULARY = 900, 16, 20_000
-LEAST_COUNT, BATCH, RATE, DECAY, WORD_DROP = 3, 256, 0.01, 1e-4, 0.1
-ROUNDS = ((0.5, 2), (0.5, 2), (0.5, 2))
+SAMPLE, SAMPLE_WINDOWS, VOCABULARY = (1800, 900), 10, 20_000
+LEAST_COUNT, BATCH, RATE, DECAY, WORD_DROP = 5, 128, 0.01, 1e-3, 0.3
+#: Steps of each round; share of the leaning of the most leaning word that others need, and
+#: how many times as frequent they are in toxic documents;
+#: share of harmless windows that a toxic one must exceed from the second round on.
+ROUNDS, LEANING, RATIO, ABOVE = (300, 150), 0.06, 6, 0.99
 #: Words whose inputs a task keeps, windows scored together.
 KEPT_WORDS, WINDOWS = 200_000, 2048
 WORDS = re.compile(r"\w+")
@@ -46,16 +54,18 @@ def windows(words: list[str]) -> list[list[str]]:
 
 
 def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words' byte triples, ends marked, and the first of each word."""
+    """Hashes of the words' byte triples and beginnings, ends marked, and where each word's
+    begin."""
     coded = [b"\x02" + w.encode("utf-8", "surrogatepass") + b"\x03" for w in words]
-    data = np.frombuffer(b"".join(coded) + b"\x00\x00", np.uint8).astype(np.uint32)
-    keys = (data[:-2] * np.uint32(65599) + data[1:-1] * np.uint32(257) + data[2:]) * np.uint32(2654435761) >> np.uint32(21)
     lengths = np.array([len(c) for c in coded])
-    ends = np.cumsum(lengths)
-    inside = np.ones(len(keys), bool)
-    inside[ends - 1] = inside[ends - 2] = False
-    starts = np.concatenate(([0], np.cumsum(lengths - 2)[:-1]))
-    return keys[inside].astype(np.int64) % TRIPLES, starts
+    # Every word is followed by as many fillers as it has beginnings: its triples that touch
+    # them give way to their hashes.
+    data = np.frombuffer(b"".join(c + b"\x00" * (len(BEGINNINGS) - 2) for c in coded) + b"\x00\x00", np.uint8).astype(np.uint32)
+    keys = ((data[:-2] * np.uint32(65599) + data[1:-1] * np.uint32(257) + data[2:]) * np.uint32(2654435761) >> np.uint32(19)).astype(np.int64)
+    ends = np.cumsum(lengths + len(BEGINNINGS) - 2)
+    for i, n in enumerate(BEGINNINGS):
+        keys[ends - 1 - i] = [zlib.crc32(c[:n], n) % TRIPLES for c in coded]
+    return keys[: ends[-1]], np.concatenate(([0], ends[:-1]))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -159,41 +169,65 @@ def batch_of(texts: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray,
     return list(index), tokens, lengths, order
 
 
+def beginnings(words: set[str]) -> set[str]:
+    """The words, and their first 3 to 7 letters, marked."""
+    return words | {f"{w[:k]}*" for w in words for k in range(3, 8) if len(w) >= k}
+
+
+def leaning(words: list[set[str]], toxic: np.ndarray) -> set[str]:
+    """Words and beginnings of documents (their sets) by the chi-square of word and label:
+    those that occur rather in toxic ones, of LEANING of the largest value or more."""
+    n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
+    in1 = Counter(w for ws, t in zip(words, toxic, strict=True) if t for w in ws)
+    in0 = Counter(w for ws, t in zip(words, toxic, strict=True) if not t for w in ws)
+
+    def chi(w: str) -> float:
+        a, b = in1[w], in0[w]
+        if a / n1 <= RATIO * (b + 0.5) / n0:
+            return 0.0
+        return (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / max(1.0, float(n1) * n0 * (a + b) * (n1 + n0 - a - b))
+
+    by = {w: chi(w) for w, n in in1.items() if n >= LEAST_COUNT}
+    most = max(by.values(), default=0.0)
+    return {w for w, x in by.items() if x and x >= LEANING * most}
+
+
 def train(rows: pd.DataFrame, seed: int = 7) -> Network:
     """Windows (doc_id, y, words) to a network; the same for the same rows."""
     rows = rows.sort_values(["doc_id", "y", "words"]).reset_index(drop=True)
-    texts = [w.split(" ") for w in rows["words"]]
-    label, docs = rows["y"].to_numpy(np.float32), pd.factorize(rows["doc_id"])[0]
-    counts = Counter(w for t in texts for w in set(t))
+    texts, label = [w.split(" ") for w in rows["words"]], rows["y"].to_numpy() == 1
+    docs = rows.groupby(["doc_id", "y"], sort=True)["words"].agg(lambda x: {w for t in x for w in t.split(" ")}) if len(rows) else pd.Series(dtype=object)
+    counts = Counter(w for ws in docs for w in ws)
     common = sorted((w for w, n in counts.items() if n >= LEAST_COUNT), key=lambda w: (-counts[w], w))[:VOCABULARY]
     net, g = Network({w: i + 1 for i, w in enumerate(common)}, seed), np.random.default_rng(seed)
+    seeds = leaning([beginnings(ws) for ws in docs], np.array([y == 1 for _, y in docs.index], bool))
+    toxic = np.array([bool(y) and not seeds.isdisjoint(beginnings(set(t))) for y, t in zip(label, texts, strict=True)], bool)
+    seeded, harmless = toxic, np.flatnonzero(~label)
     mean = {k: np.zeros_like(v) for k, v in net.p.items()}
     square = {k: np.zeros_like(v) for k, v in net.p.items()}
-    use, step = np.arange(len(texts)), 0
-    for limit, epochs in ROUNDS if len(texts) else ():
-        least_steps = 60
-        for _ in range(max(epochs, -(-least_steps * BATCH // max(1, 2 * len(use))))):
-            g.shuffle(use)
-            share = max(1e-3, label[use].mean())
-            for at in range(0, len(use), BATCH):
-                some = use[at : at + BATCH]
-                words, tokens, lengths, order = batch_of([texts[i] for i in some])
-                ids = np.array([net.vocabulary.get(w, 0) for w in words]) * (g.random(len(words)) > WORD_DROP)
-                gates, cache = net.inputs(words, ids)
-                logit, memory = net.forward(gates, tokens, lengths, keep=True)
-                y = label[some][order]
-                balance = np.where(y > 0, 0.5 / share, 0.5 / max(1e-3, 1 - share)).astype(np.float32)
-                grads = net.gradients(gates, cache, memory, ((sigmoid(logit) - y) * balance / len(y)).astype(np.float32))
-                step += 1
-                for k, v in net.p.items():
-                    d = grads[k] + DECAY * v
-                    mean[k] += 0.1 * (d - mean[k])
-                    square[k] += 0.01 * (d * d - square[k])
-                    v -= (RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+    step = 0
+    for steps in ROUNDS:
+        positive = np.flatnonzero(toxic)
+        if not len(positive) or not len(harmless):
+            # Nothing to tell apart: every window gets the one label there is, if any.
+            net.p["out"][:], net.p["shift"][0] = 0, 5.0 if len(positive) else -5.0
+            return net
+        for _ in range(steps):
+            some = np.concatenate([g.choice(positive, BATCH // 4), g.choice(harmless, BATCH - BATCH // 4)])
+            words, tokens, lengths, order = batch_of([texts[i] for i in some])
+            ids = np.array([net.vocabulary.get(w, 0) for w in words]) * (g.random(len(words)) > WORD_DROP)
+            gates, cache = net.inputs(words, ids)
+            logit, memory = net.forward(gates, tokens, lengths, keep=True)
+            error = sigmoid(logit) - label[some][order]
+            grads = net.gradients(gates, cache, memory, (error / len(error)).astype(np.float32))
+            step += 1
+            for k, v in net.p.items():
+                d = grads[k] + DECAY * v
+                mean[k] += 0.1 * (d - mean[k])
+                square[k] += 0.01 * (d * d - square[k])
+                v -= (RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         scores = scored(net, texts)
-        top = np.zeros(docs.max() + 1)
-        np.maximum.at(top, docs, scores)
-        use = np.flatnonzero((label == 0) | (scores >= limit) | ((scores >= top[docs]) & (scores > 0.25)))
+        toxic = seeded | (label & (scores > max(0.5, np.quantile(scores[harmless], ABOVE))))
     return net
 
 
@@ -262,19 +296,17 @@ class Scorer:
         return out
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE) -> Network:
+def learn(docs: DataFrame, labels: DataFrame, label: str, sample: tuple[int, int] = SAMPLE) -> Network:
     """A network from ``docs`` (doc_id, text) and ``labels`` (doc_id, ``label`` 0 or 1).
 
-    At most ``sample`` rows of either label, by hash of doc_id, are read; SAMPLE_WINDOWS
+    At most ``sample`` rows of label 0 and of 1, by hash of doc_id, are read; SAMPLE_WINDOWS
     windows of each reach the driver, where training runs.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("y"))
     by_hash = [F.xxhash64("doc_id"), "doc_id"]
-    some = known.filter("y = 1").orderBy(*by_hash).limit(sample).union(known.filter("y = 0").orderBy(*by_hash).limit(sample))
+    some = known.filter("y = 1").orderBy(*by_hash).limit(sample[1]).union(known.filter("y = 0").orderBy(*by_hash).limit(sample[0]))
 
     def cut(batches):
-        import zlib
-
         for b in batches:
             for doc, text, y in zip(b["doc_id"], b["text"], b["y"], strict=True):
                 parts = sorted((" ".join(w) for w in windows(words_of(text))), key=lambda w: zlib.crc32(w.encode("utf-8", "surrogatepass")))[:SAMPLE_WINDOWS]
