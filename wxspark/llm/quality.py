@@ -147,7 +147,11 @@ def quality_rules(docs: DataFrame, references: dict | None = None) -> DataFrame:
     far = ((F.col("word_chars") >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)) | (
         (F.col("n_words") >= MIN_COMMON_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
     )
-    d = d.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
+    # A condition that isn't a function of the row alone (it always holds) keeps a filter on
+    # the verdict above the columns it is made of: pushed below, it would repeat all of them
+    # inside each other, and work them out anew for every word.
+    settled = F.monotonically_increasing_id() >= 0
+    d = d.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)) & settled)
     return without(d, "__wx_text", "__wx_words", "__wx_lines", "__wx_h", "__wx_again", "__wx_s", "__wx_p", "class_counts", "word_counts")
 
 
