@@ -64,20 +64,21 @@ def histograms(docs: DataFrame) -> DataFrame:
     d = d.withColumn("word_chars", _squeezed("__wx_text", r"[\x20\x09-\x0D]+"))
     d = d.withColumn("n_symbols", _squeezed("__wx_text", r"[^#*$%&|<>]+"))
     d = d.withColumn("__wx_n", F.length("__wx_text").cast("bigint"))
-    d = d.withColumn("__wx_letters", _squeezed("__wx_text", r"\P{L}+")).withColumn("__wx_upper", _squeezed("__wx_text", r"\P{Lu}+"))
-    d = d.withColumn("__wx_digits", _squeezed("__wx_text", "[^0-9]+"))
+    # ASCII ranges only: what is neither space nor an ASCII mark or digit counts as a letter.
+    d = d.withColumn("__wx_marks", _squeezed("__wx_text", r"[^\x21-\x40\x5B-\x60\x7B-\x7E]+"))
+    d = d.withColumn("__wx_upper", _squeezed("__wx_text", "[^A-Z]+")).withColumn("__wx_digits", _squeezed("__wx_text", "[^0-9]+"))
     known = F.length("__wx_codes").cast("bigint")
     each = [known - F.length(F.replace("__wx_codes", F.lit(c), F.lit(""))) for c in letters]
     classes = [
-        F.col("__wx_letters") - F.col("__wx_upper"),
+        F.col("word_chars") - F.col("__wx_marks") - F.col("__wx_upper"),
         F.col("__wx_upper"),
         F.col("__wx_digits"),
         F.col("n_symbols"),
         F.col("__wx_n") - F.col("word_chars"),
-        F.col("word_chars") - F.col("__wx_letters") - F.col("__wx_digits") - F.col("n_symbols"),
+        F.col("__wx_marks") - F.col("__wx_digits") - F.col("n_symbols"),
     ]
     d = d.withColumn("class_counts", F.array(*classes)).withColumn("word_counts", F.array(*each, F.col("n_words") - known))
-    return d.drop("__wx_codes", "__wx_n", "__wx_letters", "__wx_upper", "__wx_digits")
+    return d.drop("__wx_codes", "__wx_n", "__wx_marks", "__wx_upper", "__wx_digits")
 
 
 def language_references(docs: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
@@ -130,7 +131,8 @@ def quality_rules(docs: DataFrame, references: dict | None = None) -> DataFrame:
     # Words in windows that occur twice: positions of windows whose 64-bit hash is not
     # unique in the text, found by sorting (hash, position); then the length of their union.
     at = F.sequence(F.lit(0), F.size("__wx_words") - WINDOW)
-    hashed = F.transform(at, lambda i: F.xxhash64(*[F.get("__wx_words", i + k) for k in range(WINDOW)]))
+    d = d.withColumn("__wx_each", F.transform("__wx_words", lambda w: F.xxhash64(w)))
+    hashed = F.transform(at, lambda i: F.xxhash64(*[F.get("__wx_each", i + k) for k in range(WINDOW)]))
     d = d.withColumn("__wx_h", F.when(F.size("__wx_words") >= WINDOW, hashed).otherwise(F.array().cast("array<bigint>")))
     d = d.withColumn("__wx_again", F.size(F.array_distinct("__wx_h")) < F.size("__wx_h"))
     d = d.withColumn("__wx_s", F.when(F.col("__wx_again"), F.sort_array(F.transform("__wx_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
@@ -152,7 +154,7 @@ def quality_rules(docs: DataFrame, references: dict | None = None) -> DataFrame:
     # inside each other, and work them out anew for every word.
     settled = F.monotonically_increasing_id() >= 0
     d = d.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)) & settled)
-    return without(d, "__wx_text", "__wx_words", "__wx_lines", "__wx_h", "__wx_again", "__wx_s", "__wx_p", "class_counts", "word_counts")
+    return without(d, "__wx_text", "__wx_words", "__wx_lines", "__wx_each", "__wx_h", "__wx_again", "__wx_s", "__wx_p", "class_counts", "word_counts")
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
