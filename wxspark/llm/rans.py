@@ -168,9 +168,12 @@ def read_ids(blocks: DataFrame, tables: DataFrame) -> DataFrame:
         coder = Coder(freqs)
         for b in batches:
             for r in b.to_pylist():
-                ids = coder.decode(np.frombuffer(r["states"], "<u8"), np.frombuffer(r["words"], "<u4"), r["n_ids"])
-                raw = ids.astype("<u4").tobytes()
-                if zlib.crc32(raw) != r["crc"]:
+                try:
+                    ids = coder.decode(np.frombuffer(r["states"], "<u8"), np.frombuffer(r["words"], "<u4"), r["n_ids"])
+                    raw = ids.astype("<u4").tobytes()
+                except (IndexError, ValueError):  # it ran out of words
+                    raw = None
+                if raw is None or zlib.crc32(raw) != r["crc"]:
                     raise ValueError(f"block {r['block']} of part {r['part']} is damaged")
                 n = np.array(r["lengths"], np.int64)
                 at = np.concatenate(([0], np.cumsum(n)))
