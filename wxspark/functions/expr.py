@@ -113,9 +113,19 @@ def to_timestamp_ntz(x) -> Column:
 
 # --- time --------------------------------------------------------------------------------
 
+# Unix seconds of the first and last second of the years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+
+
+def epoch_in_range(x) -> Column:
+    """Unix seconds (text or number) within the years 1 to 9999; NULL for NULL or no number."""
+    return to_double(x).between(float(FIRST_SECOND), float(LAST_SECOND) + 0.999)
+
+
 def epoch_to_timestamp(x) -> Column:
-    """Unix seconds (text or number) -> naive UTC timestamp cut to the second; 0/NULL -> NULL."""
-    seconds = to_double(x)
+    """Unix seconds (text or number) -> naive UTC timestamp cut to the second; 0, NULL and
+    seconds outside the years 1 to 9999 (infinite ones too) -> NULL."""
+    seconds = F.when(epoch_in_range(x), to_double(x))
     return F.when(seconds != 0, F.timestamp_seconds(F.floor(seconds)).cast("timestamp_ntz"))
 
 

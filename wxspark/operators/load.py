@@ -8,8 +8,8 @@ The key is enforced by the operator, not by storage:
    a pre-aggregated ``min(order)`` per repeated key joined back (skew-safe, see quality);
 3. keys already stored are removed: the stored side is read with only the key columns
    and ``date``; a left-semi join on (keys, date) against the batch lets Catalyst prune
-   stored partitions to the batch's dates (dynamic partition pruning); the (small) hit
-   set is then anti-joined.
+   stored partitions to the batch's dates (dynamic partition pruning); the distinct hits
+   are joined back, so a key that is stored twice doesn't multiply the batch.
 
 Loading the same batch twice leaves the table unchanged; the counts of each load are
 exact: ``inserted + skipped + failed = batch rows``.
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from wxspark.operators import quality, transform
 
 KEY = ("city", "recorded_at")
+#: Files that one load writes for a date, at most; a hot date is split into so many.
+FILES_PER_DATE = 8
 
 
 def classify(batch: DataFrame, existing: DataFrame | None, keys=KEY, order_col: str = "obs_id") -> DataFrame:
@@ -34,21 +36,19 @@ def classify(batch: DataFrame, existing: DataFrame | None, keys=KEY, order_col:
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    tagged = batch.withColumn("_null_key", null_key)
-    failed = tagged.where("_null_key").withColumn("_load_status", F.lit("failed"))
-    valid = quality.mark_duplicates(tagged.where(~F.col("_null_key")), keys, order_col, flag="_in_batch_dup")
+    marked = quality.mark_duplicates(batch, keys, order_col, flag="_in_batch_dup")
     if existing is not None:
         probe_cols = [*keys, "date"] if "date" in existing.columns and "date" in batch.columns else list(keys)
-        candidates = valid.where(~F.col("_in_batch_dup")).select(*probe_cols)
-        hits = existing.select(*probe_cols).join(candidates, probe_cols, "left_semi").select(*keys).withColumn("_stored", F.lit(True))
-        valid = valid.join(hits, list(keys), "left")
+        hits = existing.select(*probe_cols).join(batch.select(*probe_cols), probe_cols, "left_semi")
+        marked = marked.join(hits.select(*keys).distinct().withColumn("_stored", F.lit(True)), list(keys), "left")
     else:
-        valid = valid.withColumn("_stored", F.lit(None).cast("boolean"))
-    valid = valid.withColumn(
-        "_load_status",
-        F.when(F.col("_in_batch_dup") | F.coalesce(F.col("_stored"), F.lit(False)), "skipped").otherwise("inserted"),
-    ).drop("_in_batch_dup", "_stored")
-    return valid.unionByName(failed).drop("_null_key")
+        marked = marked.withColumn("_stored", F.lit(None).cast("boolean"))
+    status = (
+        F.when(null_key, "failed")
+        .when(F.col("_in_batch_dup") | F.coalesce(F.col("_stored"), F.lit(False)), "skipped")
+        .otherwise("inserted")
+    )
+    return marked.withColumn("_load_status", status).drop("_in_batch_dup", "_stored")
 
 
 def stats_frame(classified: DataFrame) -> DataFrame:
@@ -102,6 +102,16 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
         raise
 
 
+def conform(batch: DataFrame, existing: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``batch`` in the columns of the stored table: those it lacks are NULL of the stored
+    type; a column that the table lacks is an error, not a silent loss."""
+    unknown = [c for c in batch.columns if c not in existing.columns and c not in extra]
+    if unknown:
+        raise ValueError(f"the stored table has no columns {unknown}")
+    filled = [F.col(c) if c in batch.columns else F.lit(None).cast(t).alias(c) for c, t in existing.dtypes]
+    return batch.select(*filled, *[c for c in extra if c not in existing.columns])
+
+
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     if not table_exists(spark, path):
         return None
@@ -122,25 +132,23 @@ def load(spark: SparkSession, df: DataFrame, path: str, run_ts=None, keys=KEY, o
     batch = df
     if "inserted_at" not in batch.columns:
         batch = batch.withColumn("inserted_at", F.lit(run_ts).cast("timestamp_ntz"))
-    batch = transform.to_stored(batch)
+    batch = transform.to_stored(batch, keep=tuple(dict.fromkeys((*transform.CARRIED_COLUMNS, order_col))))
     existing = _existing(spark, path)
     if existing is not None:
-        batch = batch.select(*existing.columns)
+        batch = conform(batch, existing, extra=(order_col,))
     classified = classify(batch, existing, keys, order_col)
     obs = Observation("load_stats")
     s = F.col("_load_status")
-    observed = classified.observe(
+    spare = [c for c in (order_col,) if c not in transform.CARRIED_COLUMNS]
+    # Dealt by date, and a date by id: at most FILES_PER_DATE files of a load for a date.
+    # Before the rows are counted: a shuffle that turns out empty would take the counts away.
+    dealt = classified.repartition("date", F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DATE)))
+    observed = dealt.observe(
         obs,
         F.count_if(s == "inserted").alias("inserted"),
         F.count_if(s == "skipped").alias("skipped"),
         F.count_if(s == "failed").alias("failed"),
     )
-    (
-        observed.where(s == "inserted")
-        .drop("_load_status")
-        .write.mode("append")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    observed.where(s == "inserted").drop("_load_status", *spare).write.mode("append").partitionBy("date").parquet(path)
     got = obs.get
     return {k: int(got.get(k, 0)) for k in ("inserted", "skipped", "failed")}

@@ -85,7 +85,7 @@ def null_rule(column: str) -> Rule:
         check="NULL_VALUE",
         severity=CRITICAL,
         column=column,
-        message=f"NULL found in required column '{column}'",
+        message=f"{column} must not be empty",
         violation_sql=f"{_q(column)} IS NULL",
     )
 
@@ -98,7 +98,7 @@ def range_rule(column: str, lo, hi, critical: bool = True) -> Rule:
         check="RANGE_VIOLATION",
         severity=CRITICAL if critical else WARNING,
         column=column,
-        message=f"'{column}' out of range [{lo}, {hi}]",
+        message=f"{column} must lie from {lo} to {hi}",
         violation_sql=f"coalesce({c} < {_lit_sql(lo)} OR {c} > {_lit_sql(hi)}, false)",
         value_sql=f"CAST({c} AS DOUBLE)",
         valid_range=(float(lo), float(hi)),
@@ -112,7 +112,7 @@ def short_text_rule(column: str, min_length: int = MIN_CITY_LENGTH) -> Rule:
         check="SUSPICIOUS_CITY_NAME",
         severity=WARNING,
         column=column,
-        message=f"City names with < {min_length} characters found",
+        message=f"{column} needs {min_length} characters or more",
         violation_sql=f"coalesce(length({_q(column)}) < {int(min_length)}, false)",
     )
 
@@ -127,7 +127,7 @@ def duplicate_rule(keys=DUPLICATE_KEY) -> Rule:
         check="DUPLICATE_RECORD",
         severity=CRITICAL,
         column=",".join(keys),
-        message=f"Duplicate records found on {list(keys)}. Keeping first occurrence.",
+        message=f"{', '.join(keys)}: repeats an earlier row",
         violation_sql="_is_duplicate",
     )
 

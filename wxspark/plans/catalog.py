@@ -72,50 +72,50 @@ SELECT * FROM (
   SELECT 0 AS rule_order, 'NULL_VALUE' AS "check", 'city' AS "column", 'CRITICAL' AS severity, NULL::DOUBLE AS valid_min, NULL::DOUBLE AS valid_max,
          count(*) FILTER (WHERE f_null_city) AS affected_rows, min(obs_id) FILTER (WHERE f_null_city) AS first_row_id,
          max(obs_id) FILTER (WHERE f_null_city) AS last_row_id, NULL::DOUBLE AS min_value, NULL::DOUBLE AS max_value,
-         'NULL found in required column ''city''' AS message FROM flagged
+         'city must not be empty' AS message FROM flagged
   UNION ALL
   SELECT 1, 'NULL_VALUE', 'temperature_c', 'CRITICAL', NULL, NULL, count(*) FILTER (WHERE f_null_temperature_c),
          min(obs_id) FILTER (WHERE f_null_temperature_c), max(obs_id) FILTER (WHERE f_null_temperature_c), NULL, NULL,
-         'NULL found in required column ''temperature_c''' FROM flagged
+         'temperature_c must not be empty' FROM flagged
   UNION ALL
   SELECT 2, 'NULL_VALUE', 'humidity_pct', 'CRITICAL', NULL, NULL, count(*) FILTER (WHERE f_null_humidity_pct),
          min(obs_id) FILTER (WHERE f_null_humidity_pct), max(obs_id) FILTER (WHERE f_null_humidity_pct), NULL, NULL,
-         'NULL found in required column ''humidity_pct''' FROM flagged
+         'humidity_pct must not be empty' FROM flagged
   UNION ALL
   SELECT 3, 'NULL_VALUE', 'pressure_hpa', 'CRITICAL', NULL, NULL, count(*) FILTER (WHERE f_null_pressure_hpa),
          min(obs_id) FILTER (WHERE f_null_pressure_hpa), max(obs_id) FILTER (WHERE f_null_pressure_hpa), NULL, NULL,
-         'NULL found in required column ''pressure_hpa''' FROM flagged
+         'pressure_hpa must not be empty' FROM flagged
   UNION ALL
   SELECT 4, 'NULL_VALUE', 'weather_condition', 'CRITICAL', NULL, NULL, count(*) FILTER (WHERE f_null_weather_condition),
          min(obs_id) FILTER (WHERE f_null_weather_condition), max(obs_id) FILTER (WHERE f_null_weather_condition), NULL, NULL,
-         'NULL found in required column ''weather_condition''' FROM flagged
+         'weather_condition must not be empty' FROM flagged
   UNION ALL
   SELECT 5, 'NULL_VALUE', 'recorded_at', 'CRITICAL', NULL, NULL, count(*) FILTER (WHERE f_null_recorded_at),
          min(obs_id) FILTER (WHERE f_null_recorded_at), max(obs_id) FILTER (WHERE f_null_recorded_at), NULL, NULL,
-         'NULL found in required column ''recorded_at''' FROM flagged
+         'recorded_at must not be empty' FROM flagged
   UNION ALL
   SELECT 6, 'RANGE_VIOLATION', 'temperature_c', 'CRITICAL', -90.0::DOUBLE, 60.0::DOUBLE, count(*) FILTER (WHERE f_range_temperature_c),
          min(obs_id) FILTER (WHERE f_range_temperature_c), max(obs_id) FILTER (WHERE f_range_temperature_c),
          min(temperature_c) FILTER (WHERE f_range_temperature_c), max(temperature_c) FILTER (WHERE f_range_temperature_c),
-         '''temperature_c'' out of range [-90.0, 60.0]' FROM flagged
+         'temperature_c must lie from -90.0 to 60.0' FROM flagged
   UNION ALL
   SELECT 7, 'RANGE_VIOLATION', 'humidity_pct', 'CRITICAL', 0.0::DOUBLE, 100.0::DOUBLE, count(*) FILTER (WHERE f_range_humidity_pct),
          min(obs_id) FILTER (WHERE f_range_humidity_pct), max(obs_id) FILTER (WHERE f_range_humidity_pct),
          min(humidity_pct::DOUBLE) FILTER (WHERE f_range_humidity_pct), max(humidity_pct::DOUBLE) FILTER (WHERE f_range_humidity_pct),
-         '''humidity_pct'' out of range [0, 100]' FROM flagged
+         'humidity_pct must lie from 0 to 100' FROM flagged
   UNION ALL
   SELECT 8, 'RANGE_VIOLATION', 'pressure_hpa', 'WARNING', 870.0::DOUBLE, 1085.0::DOUBLE, count(*) FILTER (WHERE f_range_pressure_hpa),
          min(obs_id) FILTER (WHERE f_range_pressure_hpa), max(obs_id) FILTER (WHERE f_range_pressure_hpa),
          min(pressure_hpa::DOUBLE) FILTER (WHERE f_range_pressure_hpa), max(pressure_hpa::DOUBLE) FILTER (WHERE f_range_pressure_hpa),
-         '''pressure_hpa'' out of range [870, 1085]' FROM flagged
+         'pressure_hpa must lie from 870 to 1085' FROM flagged
   UNION ALL
   SELECT 9, 'DUPLICATE_RECORD', 'city,recorded_at', 'CRITICAL', NULL, NULL, count(*) FILTER (WHERE f_duplicate),
          min(obs_id) FILTER (WHERE f_duplicate), max(obs_id) FILTER (WHERE f_duplicate), NULL, NULL,
-         'Duplicate records found on [''city'', ''recorded_at'']. Keeping first occurrence.' FROM flagged
+         'city, recorded_at: repeats an earlier row' FROM flagged
   UNION ALL
   SELECT 10, 'SUSPICIOUS_CITY_NAME', 'city', 'WARNING', NULL, NULL, count(*) FILTER (WHERE f_short_city),
          min(obs_id) FILTER (WHERE f_short_city), max(obs_id) FILTER (WHERE f_short_city), NULL, NULL,
-         'City names with < 2 characters found' FROM flagged
+         'city needs 2 characters or more' FROM flagged
 ) i WHERE affected_rows > 0
 """
 
@@ -212,28 +212,39 @@ def q_dq_quarantine(spark, sf):
     return V.validation(spark, sf).quarantine
 
 
+PART = """(SELECT * REPLACE (CASE WHEN visibility_m = 0 THEN NULL ELSE weather_description END AS weather_description,
+  CASE WHEN wind_direction_deg < 90 THEN NULL ELSE wind_speed_mps END AS wind_speed_mps) FROM clean)"""
+
+
 @query(
     "dq_null_counts",
-    """
+    f"""
 SELECT * FROM (
-  SELECT 'country' AS "column", count(*) FILTER (WHERE country IS NULL) AS null_count FROM clean
-  UNION ALL SELECT 'feels_like_c', count(*) FILTER (WHERE feels_like_c IS NULL) FROM clean
-  UNION ALL SELECT 'temp_min_c', count(*) FILTER (WHERE temp_min_c IS NULL) FROM clean
-  UNION ALL SELECT 'temp_max_c', count(*) FILTER (WHERE temp_max_c IS NULL) FROM clean
-  UNION ALL SELECT 'wind_speed_mps', count(*) FILTER (WHERE wind_speed_mps IS NULL) FROM clean
-  UNION ALL SELECT 'wind_direction_deg', count(*) FILTER (WHERE wind_direction_deg IS NULL) FROM clean
-  UNION ALL SELECT 'weather_description', count(*) FILTER (WHERE weather_description IS NULL) FROM clean
-  UNION ALL SELECT 'visibility_m', count(*) FILTER (WHERE visibility_m IS NULL) FROM clean
-  UNION ALL SELECT 'cloudiness_pct', count(*) FILTER (WHERE cloudiness_pct IS NULL) FROM clean
-  UNION ALL SELECT 'extracted_at', count(*) FILTER (WHERE extracted_at IS NULL) FROM clean
-  UNION ALL SELECT 'inserted_at', count(*) FILTER (WHERE inserted_at IS NULL) FROM clean
-  UNION ALL SELECT 'heat_index_c', count(*) FILTER (WHERE heat_index_c IS NULL) FROM clean
-  UNION ALL SELECT 'comfort_level', count(*) FILTER (WHERE comfort_level IS NULL) FROM clean
+  SELECT 'country' AS "column", count(*) FILTER (WHERE country IS NULL) AS null_count FROM {PART}
+  UNION ALL SELECT 'feels_like_c', count(*) FILTER (WHERE feels_like_c IS NULL) FROM {PART}
+  UNION ALL SELECT 'temp_min_c', count(*) FILTER (WHERE temp_min_c IS NULL) FROM {PART}
+  UNION ALL SELECT 'temp_max_c', count(*) FILTER (WHERE temp_max_c IS NULL) FROM {PART}
+  UNION ALL SELECT 'wind_speed_mps', count(*) FILTER (WHERE wind_speed_mps IS NULL) FROM {PART}
+  UNION ALL SELECT 'wind_direction_deg', count(*) FILTER (WHERE wind_direction_deg IS NULL) FROM {PART}
+  UNION ALL SELECT 'weather_description', count(*) FILTER (WHERE weather_description IS NULL) FROM {PART}
+  UNION ALL SELECT 'visibility_m', count(*) FILTER (WHERE visibility_m IS NULL) FROM {PART}
+  UNION ALL SELECT 'cloudiness_pct', count(*) FILTER (WHERE cloudiness_pct IS NULL) FROM {PART}
+  UNION ALL SELECT 'extracted_at', count(*) FILTER (WHERE extracted_at IS NULL) FROM {PART}
+  UNION ALL SELECT 'inserted_at', count(*) FILTER (WHERE inserted_at IS NULL) FROM {PART}
+  UNION ALL SELECT 'heat_index_c', count(*) FILTER (WHERE heat_index_c IS NULL) FROM {PART}
+  UNION ALL SELECT 'comfort_level', count(*) FILTER (WHERE comfort_level IS NULL) FROM {PART}
 ) n WHERE null_count > 0
 """,
 )
 def q_dq_null_counts(spark, sf):
-    return V.validation(spark, sf).null_counts()
+    """NULLs by column of a batch whose optional description and wind are missing in part."""
+    seen = V.transformed(spark, sf).withColumns(
+        {
+            "weather_description": F.when(F.col("visibility_m") != 0, F.col("weather_description")),
+            "wind_speed_mps": F.when(F.col("wind_direction_deg") >= 90, F.col("wind_speed_mps")),
+        }
+    )
+    return quality.validate(seen).null_counts()
 
 
 # ---------------------------------------------------------------------------
@@ -489,7 +500,7 @@ def q_fetch_latest_window(spark, sf):
     return activity.latest_per_city(V.stored(spark, sf))
 
 
-LOOKUP_CITY = "france"
+LOOKUP_CITY = "nation_3"
 
 
 @query(
@@ -604,12 +615,19 @@ def q_raw_json_parse(spark, sf):
 
 @query(
     "raw_json_rejects",
-    "SELECT obs_id, 'malformed_json' AS reason FROM obs WHERE temperature_c IS NULL",
+    """
+SELECT * FROM (
+  SELECT obs_id, CASE WHEN temperature_c IS NULL THEN 'malformed_json' WHEN obs_id % 13 = 0 THEN 'dt_out_of_range'
+                      WHEN obs_id % 17 = 0 THEN 'non_numeric_dt' END AS reason FROM obs)
+WHERE reason IS NOT NULL
+""",
 )
 def q_raw_json_rejects(spark, sf):
-    """Documents truncated in transit where a reading is missing: exactly those rows are
-    rejected as malformed, every other row of the batch parses."""
+    """Documents truncated in transit where a reading is missing, and with times beyond the
+    calendar or without a number: exactly those rows are rejected, each with its reason."""
     d = V.raw_docs(spark, sf)
+    timed = lambda text: F.regexp_replace("doc", '"dt":-?[0-9]+', f'"dt":"{text}"')
+    d = d.withColumn("doc", F.when(F.col("obs_id") % 13 == 0, timed("1e15")).when(F.col("obs_id") % 17 == 0, timed("soon")).otherwise(F.col("doc")))
     cut = F.when(F.col("doc").contains('"main":{"feels_like"'), F.expr("substr(doc, 1, length(doc) - 1)")).otherwise(
         F.col("doc")
     )

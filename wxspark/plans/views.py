@@ -4,13 +4,12 @@ one Catalyst plan per query (no intermediate materialisation, no driver round tr
 
 The chain is built once per session and input folder and then reused, as a temp view
 would be: a view is a lazy plan, not data, so reuse only saves the client-side plan
-construction (hundreds of JVM calls per view). Like a temp view over files, it keeps the
-file listing of its first use; call :func:`refresh` after the input files change.
+construction (hundreds of JVM calls per view). Views are kept under the size, number and
+time of the input files, so changed files give new views.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +18,25 @@ from pyspark.sql import functions as F
 from wxspark.operators import quality, transform
 from wxspark.sources import raw_json
 from wxspark.sources.observations import observations
+from wxspark.sources.tables import table_path
 
 _CHAIN: dict[tuple, object] = {}
 
 
+def _listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """Bytes, files and time of change of each input table."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in ("events", "customer", "nation"):
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        fs = path.getFileSystem(conf)
+        size = fs.getContentSummary(path)
+        found.append((size.getLength(), size.getFileCount(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(found)
+
+
 def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), name)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _listing(spark, sf_dir), name)
     hit = _CHAIN.get(key)
     if hit is None:
         hit = _CHAIN[key] = build()

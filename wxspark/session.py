@@ -17,6 +17,8 @@ from pyspark.sql import SparkSession
 REQUIRED_CONF = {
     # All timestamps are naive UTC (TIMESTAMP_NTZ); LTZ intermediates must not shift.
     "spark.sql.session.timeZone": "UTC",
+    # Parquet written by pandas carries naive timestamps: keep them NTZ.
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
 }
 
 # Defaults for sessions the engine builds itself (tests, bench, CLI).
@@ -32,8 +34,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Parquet written by pandas carries naive timestamps: keep them NTZ.
-    "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     # PySpark's call-site capture costs ~10 JVM round trips per Column function call
     # (F.col, F.when, ...): most of the client-side plan construction time. Errors then
     # carry no Python call site. Sessions handed to the engine keep their own setting.
@@ -41,12 +41,27 @@ DEFAULT_CONF = {
 }
 
 
+#: Deal the derived view's scan out to so many partitions, where set: a caller's choice for
+#: inputs of few row groups. Unset, the scan is as the files are split.
+SCAN_PARTITIONS = "wxspark.scan.partitions"
+
+
+def _threads(master: str) -> str:
+    found = re.search(r"\[(\d+)", master)
+    return found[1] if found else str(os.cpu_count() or 1)
+
+
 def build_session(master: str | None = None, app_name: str = "wxspark", **conf: str) -> SparkSession:
-    """Create (or reuse) a session with the engine defaults; extra ``conf`` wins."""
+    """Create (or reuse) a session; one with an own ``master`` gets the local defaults, and
+    extra ``conf`` wins."""
     builder = SparkSession.builder.appName(app_name)
+    defaults = {}
     if master:
+        # An own local session. Without a master this is a submitted run, whose settings
+        # (shuffle partitions, adaptive execution, ...) are the cluster's.
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **REQUIRED_CONF, **conf}.items():
+        defaults = DEFAULT_CONF | {SCAN_PARTITIONS: _threads(master)}
+    for key, value in {**defaults, **REQUIRED_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -72,15 +87,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-    registered = context.getCheckpointDir()
-    if not configured and not registered:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: point it at shared storage (e.g. the cluster's "
-                "distributed file system) before running jobs that cut lineage"
-            )
-        configured = tempfile.mkdtemp(prefix="wxspark-ckpt-")
+    if not configured and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at shared storage (e.g. the cluster's "
+            "distributed file system) before running jobs that cut lineage"
+        )
+    registered = context._jsc.sc().getCheckpointDir()
+    registered = registered.get() if registered.isDefined() else None
     if not registered:
+        configured = configured or tempfile.mkdtemp(prefix="wxspark-ckpt-")
         context.setCheckpointDir(configured)
     return configured or registered
 

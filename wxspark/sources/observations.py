@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wxspark.sources.tables import read_table, spread
+from wxspark.sources.tables import dealt, read_table
 
 # Event type -> weather condition used by the derived view (first match wins).
 EVENT_CONDITIONS = (
@@ -28,12 +28,6 @@ EVENT_CONDITIONS = (
 )
 OTHER_CONDITION = "Thunderstorm"
 
-OBS_COLUMNS = (
-    "obs_id city country temperature_c feels_like_c temp_min_c temp_max_c humidity_pct "
-    "pressure_hpa wind_speed_mps wind_direction_deg weather_condition weather_description "
-    "visibility_m cloudiness_pct recorded_at extracted_at inserted_at"
-).split()
-
 
 def _condition_sql() -> str:
     cases = " ".join(f"WHEN event_type = '{t}' THEN '{c}'" for t, c in EVENT_CONDITIONS)
@@ -43,7 +37,7 @@ def _condition_sql() -> str:
 # The projection is written as SQL expressions: one parse in the JVM instead of hundreds
 # of client round trips for an equivalent Column tree (same plan either way).
 DERIVED_SQL = (
-    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    "try_cast(get_json_object(props, '$.k') AS INT) AS k",
     "CAST((CAST(round(value * 100D) AS BIGINT) % 6000) - 1500 AS DOUBLE) / 100D AS t0",
     f"{_condition_sql()} AS wc",
 )
@@ -71,7 +65,7 @@ OBS_SQL = (
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw (unvalidated) observation frame with ``obs_id`` as ingest order."""
-    events = spread(
+    events = dealt(
         read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"), "event_id"
     )
     # Dimension tables: one row per customer / nation; Catalyst prunes them to the

@@ -85,6 +85,7 @@ def reject_reason() -> Column:
     return (
         F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed_json"))
         .when(dt.isNotNull() & X.to_double(dt).isNull(), F.lit("non_numeric_dt"))
+        .when(~X.epoch_in_range(dt), F.lit("dt_out_of_range"))
     )
 
 
@@ -129,18 +130,22 @@ def split_raw(raw: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, Da
     return good, bad
 
 
-LIVE_REQUIRED = ("name", "sys.country", "main.temp", "main.feels_like", "main.humidity", "main.pressure", "wind.speed")
+LIVE_REQUIRED = ("name", "sys.country")
+LIVE_NUMBERS = {"main.temp": X.to_double, "main.feels_like": X.to_double, "main.humidity": X.to_int, "main.pressure": X.to_int, "wind.speed": X.to_double}
 
 
 def flatten_live(raw: DataFrame, now: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Live-page profile: temps rounded half-even to whole degrees, description as sent,
     no wind direction or heat index, visibility default 10000, clouds default 0, min/max
     fall back to temp, comfort on the live bands, recorded_at = extracted_at = ``now``.
-    A record missing any required field is skipped (the live page shows nothing)."""
+    A record missing any required field, or with text for a required number, is skipped
+    (the live page shows nothing)."""
     w = _first_weather()
     ok = F.lit(True)
     for c in LIVE_REQUIRED:
         ok = ok & F.col(c).isNotNull()
+    for c, number in LIVE_NUMBERS.items():
+        ok = ok & number(c).isNotNull()
     ok = ok & w["main"].isNotNull() & w["description"].isNotNull() & F.col(CORRUPT).isNull()
     temp = F.rint(X.to_double("main.temp"))
     return raw.where(ok).select(

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wxspark.session import SCAN_PARTITIONS
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -33,15 +35,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition a scan that yields fewer splits than the cluster has cores.
-
-    A small input stored as one parquet row group is read by a single task, so all the
-    narrow work after it (JSON parsing, dimension joins, flag expressions) would run on
-    one core. Large inputs have many splits and pass through unchanged (no shuffle).
-    Hashing on ``keys`` keeps the row -> partition assignment deterministic on retry.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, *keys)
-    return df
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` to the partitions that the session's SCAN_PARTITIONS asks
+    for; as its files are split where that is unset. Does not depend on the input's size."""
+    partitions = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(partitions), *keys) if partitions else df

@@ -15,6 +15,7 @@ state (the table is the state). Checkpoints go under the cluster's shared
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,16 +115,28 @@ def start_keyed_load(
     checkpoint_location: str | None = None,
     available_now: bool = True,
     stats_sink: list | None = None,
+    quarantine_path: str | None = None,
 ) -> StreamingQuery:
-    """Validate each micro-batch and insert its clean rows if absent.
+    """Validate each micro-batch and insert its clean rows if absent (T3); rows that the
+    rules hold back are appended to ``quarantine_path`` where one is given.
 
     A batch that is re-run after a failure finds its rows already stored and skips them,
     so the table is exact under replay without any streaming state.
     """
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        v = quality.validate(batch, order_col="obs_id")
-        stats = load_op.load(batch.sparkSession, v.clean, table_path)
+        session = batch.sparkSession
+        # Staged once: the JSON is parsed once, and a row's position in the stage makes the
+        # order of ingest (time, file, position) unique per row and the same in every branch.
+        stage = os.path.join(checkpoint_dir(session), "stages", f"{name}-{uuid.uuid4().hex}")
+        batch.withColumn("_position", F.monotonically_increasing_id()).write.parquet(stage)
+        staged = session.read.schema(batch.schema.add("_position", "long")).parquet(stage)
+        staged = staged.withColumn("_order", F.struct("extracted_at", *[c for c in ("source_file",) if c in staged.columns], "_position"))
+        v = quality.validate(staged, order_col="_order")
+        stats = load_op.load(session, v.clean, table_path, order_col="_order")
+        if quarantine_path:
+            bad = v.quarantine.drop("_order", "_position").withColumn("batch_id", F.lit(batch_id))
+            bad.write.mode("append").parquet(quarantine_path)
         if stats_sink is not None:
             stats_sink.append((batch_id, stats))
 
