@@ -33,13 +33,22 @@ MAX_CLASS_DISTANCE, MIN_CHARS = 0.30, 120
 MAX_WORD_DISTANCE, MIN_COMMON_WORDS = 0.30, 60
 
 
-def _squeezed(text, drop: str) -> Column:
-    return F.length(F.regexp_replace(text, drop, "")).cast("bigint")
+def _count(text: str, chars: str) -> Column:
+    """Code points of ``text`` in the character class ``chars``: taken out, not kept, since
+    a class of a few ranges is far cheaper to match than its complement."""
+    return (F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]+", ""))).cast("bigint")
+
+
+def _without_space(text: str) -> Column:
+    out = F.col(text)
+    for c in SPACE:
+        out = F.replace(out, F.lit(c), F.lit(""))
+    return out
 
 
 def _codes() -> tuple[Column, Column, int, list[str]]:
     """A word's code letter by a table without collisions: slots by crc32."""
-    letters = [chr(0x4E00 + i) for i in range(len(VOCABULARY))]
+    letters = [chr(ord("!") + i) for i in range(len(VOCABULARY))]  # one byte each
     slots = next(m for m in range(len(VOCABULARY), 100_000) if len({zlib.crc32(w.encode()) % m for w in VOCABULARY}) == len(VOCABULARY))
     words, codes = [""] * slots, [""] * slots
     for w, c in zip(VOCABULARY, letters, strict=True):
@@ -61,12 +70,12 @@ def histograms(docs: DataFrame) -> DataFrame:
 
     d = d.withColumn("n_words", F.size("__wx_words").cast("bigint"))
     d = d.withColumn("__wx_codes", F.array_join(F.transform("__wx_words", code), ""))
-    d = d.withColumn("word_chars", _squeezed("__wx_text", r"[\x20\x09-\x0D]+"))
-    d = d.withColumn("n_symbols", _squeezed("__wx_text", r"[^#*$%&|<>]+"))
+    d = d.withColumn("word_chars", F.length(_without_space("__wx_text")).cast("bigint"))
+    d = d.withColumn("n_symbols", _count("__wx_text", SYMBOLS))
     d = d.withColumn("__wx_n", F.length("__wx_text").cast("bigint"))
     # ASCII ranges only: what is neither space nor an ASCII mark or digit counts as a letter.
-    d = d.withColumn("__wx_marks", _squeezed("__wx_text", r"[^\x21-\x40\x5B-\x60\x7B-\x7E]+"))
-    d = d.withColumn("__wx_upper", _squeezed("__wx_text", "[^A-Z]+")).withColumn("__wx_digits", _squeezed("__wx_text", "[^0-9]+"))
+    d = d.withColumn("__wx_marks", _count("__wx_text", r"\x21-\x40\x5B-\x60\x7B-\x7E"))
+    d = d.withColumn("__wx_upper", _count("__wx_text", "A-Z")).withColumn("__wx_digits", _count("__wx_text", "0-9"))
     known = F.length("__wx_codes").cast("bigint")
     each = [known - F.length(F.replace("__wx_codes", F.lit(c), F.lit(""))) for c in letters]
     classes = [
