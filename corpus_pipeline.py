@@ -29,7 +29,7 @@ def _aside(docs: DataFrame, judge, keep: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _aside(docs, quality.quality_rules, "kept")
+    return _aside(docs, lambda d: quality.quality_rules(d, carry=["__wx_row"]), "kept")
 
 
 def _named(found: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import WORD, read, without
+from wxspark.llm.common import WORD, read, without, written
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -90,11 +90,11 @@ def histograms(docs: DataFrame) -> DataFrame:
     return d.drop("__wx_codes", "__wx_n", "__wx_marks", "__wx_upper", "__wx_digits")
 
 
-def language_references(docs: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
-    """Class and word shares of all documents of each language in COMMON that ``docs``
-    (text, lang) has, and of all documents together under the empty name: at most
-    ``len(COMMON) + 1`` rows of sums. Empty for a table without words."""
-    h = histograms(docs.select("text", "lang")).filter("n_words > 0")
+def language_references(measures: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
+    """Class and word shares of all rows of ``measures`` (lang, n_words and the counts of
+    ``histograms``) in each language of COMMON, and of all rows together under the empty
+    name: at most ``len(COMMON) + 1`` rows of sums. Empty for a table without words."""
+    h = measures.filter("n_words > 0")
     n, m = len(CLASSES), len(VOCABULARY) + 1
     parts = h.select(
         F.when(F.col("lang").isin(*COMMON), F.col("lang")).alias("lang"),
@@ -122,17 +122,13 @@ def divergence(counts: str, references: list[list[float]]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(nearest / 2, F.lit(0.0))))
 
 
-def quality_rules(docs: DataFrame, references: dict | None = None) -> DataFrame:
-    """``docs`` (text, and lang where the references are to be counted) with n_words,
-    word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance (null
-    without characters or words), base_failed and kept.
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_counts", "word_counts"]
+VERDICT = ["class_distance", "word_distance", "base_failed", "kept"]
 
-    Null text is empty; an empty text fails (fewer than 10 words). Input columns with the
-    names of computed ones are replaced; repeated rows are judged alike.
-    """
-    references = language_references(docs) if references is None else references
-    out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_counts", "word_counts", "class_distance", "word_distance", "base_failed", "kept"]
-    d = histograms(without(docs, *out))
+
+def measured(docs: DataFrame) -> DataFrame:
+    """``docs`` (text) with COUNTS: all that needs the text."""
+    d = histograms(without(docs, *COUNTS, *VERDICT))
     blank = lambda line: F.length(F.btrim(line, F.lit(SPACE))) == 0
     d = d.withColumn("__wx_lines", F.filter(F.split("__wx_text", "\n", -1), lambda line: ~blank(line)))
     d = d.withColumn("n_dup_lines", (F.size("__wx_lines") - F.size(F.array_distinct("__wx_lines"))).cast("bigint"))
@@ -151,6 +147,32 @@ def quality_rules(docs: DataFrame, references: dict | None = None) -> DataFrame:
     repeated = F.aggregate(gaps, F.lit(0).cast("bigint"), lambda s, x: s + x)
     d = d.withColumn("n_repeat_words", F.when(F.col("__wx_again"), repeated).otherwise(F.lit(0).cast("bigint")))
 
+    return without(d, "__wx_text", "__wx_words", "__wx_lines", "__wx_each", "__wx_h", "__wx_again", "__wx_s", "__wx_p")
+
+
+def quality_rules(docs: DataFrame, references: dict | None = None, carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (text, and lang where the references are to be counted) with n_words,
+    word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance, word_distance (null
+    without characters or words), base_failed and kept. ``carry`` names the columns of
+    ``docs`` to return, all unless given.
+
+    Where the references are to be counted, the counts are written once, with the columns
+    to carry: the references are summed and the verdicts given from that table, and every
+    text is read and measured once.
+
+    Null text is empty; an empty text fails (fewer than 10 words). Input columns with the
+    names of computed ones are replaced; repeated rows are judged alike.
+    """
+    own = [c for c in docs.columns if c.lower() not in {n.lower() for n in (*COUNTS, *VERDICT)}]
+    own = [F.col(f"`{c}`") for c in own if carry is None or c in carry]
+    d = measured(docs)
+    if references is None:
+        row = F.struct(*own) if own else F.lit(None)
+        d = written(d.select(row.alias("__wx_own"), "lang", *COUNTS), "quality-counts")
+        references = language_references(d)
+        d = d.select(*(["__wx_own.*"] if own else []), *COUNTS)
+    else:
+        d = d.select(*own, *COUNTS)
     d = d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     refs = list(references.values())
     for name, counts, k in (("class_distance", "class_counts", 0), ("word_distance", "word_counts", 1)):
@@ -163,9 +185,9 @@ def quality_rules(docs: DataFrame, references: dict | None = None) -> DataFrame:
     # inside each other, and work them out anew for every word.
     settled = F.monotonically_increasing_id() >= 0
     d = d.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)) & settled)
-    return without(d, "__wx_text", "__wx_words", "__wx_lines", "__wx_each", "__wx_h", "__wx_again", "__wx_s", "__wx_p", "class_counts", "word_counts")
+    return without(d, "class_counts", "word_counts")
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules(docs, carry=["doc_id"]).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
