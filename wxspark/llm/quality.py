@@ -9,6 +9,7 @@ either histogram; texts under a minimum length are not held to that histogram.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 from pyspark.sql import Column, DataFrame
@@ -108,18 +109,34 @@ def language_references(measures: DataFrame) -> dict[str, tuple[list[float], lis
     return {k: (share(v[:n]), share(v[n:])) for k, v in sums.items() if k is not None}
 
 
-def divergence(counts: str, references: list[list[float]]) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of a histogram to the nearest reference."""
-    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    p = F.transform(counts, lambda x: x / total)
-    half = lambda a, m: F.when(a > 0, a * F.log2(a / m)).otherwise(0.0)
+def divergence(counts: str, references: list[list[float]], total: str | None = None, shares: str | None = None) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) of a histogram to the nearest reference:
+    half of sum(p log p) + sum(q log q) - sum((p + q) log((p + q) / 2)), so that only one
+    logarithm an element is left for each reference. ``total`` and ``shares`` name columns
+    that hold them already."""
+    count = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x) if total is None else F.col(total)
+    p = F.transform(counts, lambda x: x / F.nullif(count, F.lit(0))) if shares is None else F.col(shares)
+
+    def x_log_x(xs):
+        return F.aggregate(xs, F.lit(0.0), lambda a, x: a + F.when(x > 0, x * F.log2(x)).otherwise(0.0))
 
     def one(q):
-        terms = F.zip_with(p, F.array(*map(F.lit, q)), lambda a, b: half(a, (a + b) / 2) + half(b, (a + b) / 2))
-        return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
+        own = sum(x * math.log2(x) for x in q if x > 0) + 1 + sum(q)
+        return F.lit(own) - x_log_x(F.zip_with(p, F.array(*map(F.lit, q)), lambda a, b: a + b))
 
     nearest = F.least(*[one(q) for q in references]) if len(references) > 1 else one(references[0])
-    return F.when(total > 0, F.sqrt(F.greatest(nearest / 2, F.lit(0.0))))
+    return F.when(count > 0, F.sqrt(F.greatest((nearest + x_log_x(p)) / 2, F.lit(0.0))))
+
+
+def with_divergence(d: DataFrame, name: str, counts: str, references: list[list[float]]) -> DataFrame:
+    """Adds ``name``: the divergence, null without references. The histogram's total and its
+    shares are columns, both used more than once: inside the functions of the elements they
+    would be worked out anew for each."""
+    if not references:
+        return d.withColumn(name, F.lit(None).cast("double"))
+    d = d.withColumn("__wx_total", F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x))
+    d = d.withColumn("__wx_share", F.transform(counts, lambda x: x / F.nullif("__wx_total", F.lit(0))))
+    return without(d.withColumn(name, divergence(counts, references, "__wx_total", "__wx_share")), "__wx_total", "__wx_share")
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_counts", "word_counts"]
@@ -176,7 +193,7 @@ def quality_rules(docs: DataFrame, references: dict | None = None, carry: list[s
     d = d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     refs = list(references.values())
     for name, counts, k in (("class_distance", "class_counts", 0), ("word_distance", "word_counts", 1)):
-        d = d.withColumn(name, divergence(counts, [r[k] for r in refs]) if refs else F.lit(None).cast("double"))
+        d = with_divergence(d, name, counts, [r[k] for r in refs])
     far = ((F.col("word_chars") >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)) | (
         (F.col("n_words") >= MIN_COMMON_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
     )
