@@ -262,6 +262,17 @@ def test_classifiers_on_held_out(spark, odd, empty):
     assert toxicity.classify(odd[0], net).filter("score < 0.5").count() == len(odd[1])
 
 
+def test_leaning_words_of_few_documents():
+    g = random.Random(8)
+    plain = lambda: {f"w{g.randrange(400)}" for _ in range(30)}
+    groups = [("idiot", 300), ("dummkopf", 9), ("cretin", 6)]
+    toxic = [plain() | {word} for word, n in groups for _ in range(n)]
+    harmless = [plain() for _ in range(1500)]
+    got = toxicity.leaning(toxic + harmless, np.arange(len(toxic) + len(harmless)) < len(toxic))
+    assert got == {word for word, _ in groups}
+    assert toxicity.leaning(harmless, np.arange(len(harmless)) < 200) == set()
+
+
 def test_gradients():
     net = toxicity.Network({"a": 1, "bc": 2})
     net.p = {k: v.astype(float) for k, v in net.p.items()}

@@ -6,10 +6,10 @@ recurrent layers read a window, one from each end; attention weighs their states
 vector, and a logistic unit scores it. A document has the score of its highest window.
 
 Labels are of documents, so training goes in rounds. The first takes as toxic those windows
-of toxic documents that hold a word, or a word's beginning, whose document counts lean to
-them most; the next ones
-those that the network itself scores over nearly all windows of the others. Windows of
-toxic documents that are not taken teach nothing.
+of toxic documents that hold a word, or a word's beginning, that leans to them by its
+document counts, as documents left by stronger words show it too; the next ones those that the network itself scores over nearly all windows of the others. Windows of
+toxic documents that are not taken teach nothing. The network has the mean weights of the
+last round's steps: those of a single step flag some harmless texts or others by chance.
 """
 
 from __future__ import annotations
@@ -35,10 +35,12 @@ BEGINNINGS = (6, 8)
 #: most (the first by a hash), and words of the vocabulary, at most (the most frequent).
 SAMPLE, SAMPLE_WINDOWS, VOCABULARY = (1800, 900), 10, 20_000
 LEAST_COUNT, BATCH, RATE, DECAY, WORD_DROP = 5, 128, 0.01, 1e-3, 0.3
-#: Steps of each round; share of the leaning of the most leaning word that others need, and
-#: how many times as frequent they are in toxic documents;
-#: share of harmless windows that a toxic one must exceed from the second round on.
-ROUNDS, LEANING, RATIO, ABOVE = (300, 150), 0.06, 6, 0.99
+#: Steps of each round; share of harmless windows that a toxic one must exceed from the
+#: second round on.
+ROUNDS, ABOVE = (300, 150), 0.99
+#: Surprise of a leaning word, at least (chance at most e**-LEVEL), how many times as
+#: frequent it is in toxic documents, and how many of them hold it, at least.
+LEVEL, RATIO, LEAST_TOXIC = 10, 6, 3
 #: Words whose inputs a task keeps, windows scored together.
 KEPT_WORDS, WINDOWS = 200_000, 2048
 WORDS = re.compile(r"\w+")
@@ -175,38 +177,57 @@ def beginnings(words: set[str]) -> set[str]:
 
 
 def leaning(words: list[set[str]], toxic: np.ndarray) -> set[str]:
-    """Words and beginnings of documents (their sets) by the chi-square of word and label:
-    those that occur rather in toxic ones, of LEANING of the largest value or more."""
-    n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
+    """Words and beginnings of distinct documents (their sets) that occur rather in toxic ones.
+
+    A word's surprise bounds the chance of as many toxic documents among its own, if labels
+    were dealt at random (Chernoff: minus its logarithm). Words of LEVEL or more are taken;
+    then the toxic documents of the most surprising one are put aside, and words are judged
+    by those that are left, until none leans. So what many documents hold doesn't hide what
+    a few do, and no toxic document is left that holds a leaning word."""
+    n0 = max(1, int((~toxic).sum()))
     in1 = Counter(w for ws, t in zip(words, toxic, strict=True) if t for w in ws)
-    in0 = Counter(w for ws, t in zip(words, toxic, strict=True) if not t for w in ws)
-
-    def chi(w: str) -> float:
-        a, b = in1[w], in0[w]
-        if a / n1 <= RATIO * (b + 0.5) / n0:
-            return 0.0
-        return (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / max(1.0, float(n1) * n0 * (a + b) * (n1 + n0 - a - b))
-
-    by = {w: chi(w) for w, n in in1.items() if n >= LEAST_COUNT}
-    most = max(by.values(), default=0.0)
-    return {w for w, x in by.items() if x and x >= LEANING * most}
+    names = sorted(w for w, n in in1.items() if n >= LEAST_TOXIC)
+    index = {w: i for i, w in enumerate(names)}
+    in0 = Counter(w for ws, t in zip(words, toxic, strict=True) if not t for w in ws if w in index)
+    b = np.array([in0[w] for w in names], float)
+    left = [np.array(sorted(index[w] for w in ws if w in index), int) for ws, t in zip(words, toxic, strict=True) if t]
+    a, taken = np.array([in1[w] for w in names], float), np.zeros(len(names), bool)
+    while left and len(names):
+        n1 = len(left)
+        share, n = n1 / (n1 + n0), a + b
+        with np.errstate(divide="ignore", invalid="ignore"):
+            surprise = np.where(a > 0, a * np.log(a / (n * share)), 0) + np.where(b > 0, b * np.log(b / (n * (1 - share))), 0)
+        surprise[(a < LEAST_TOXIC) | (a / n1 <= RATIO * (b + 0.5) / n0)] = 0
+        leans = surprise >= LEVEL
+        if not leans.any():
+            break
+        taken |= leans
+        best = int(surprise.argmax())
+        for own in left:
+            if best in own:
+                a[own] -= 1
+        left = [own for own in left if best not in own]
+    return {names[i] for i in np.flatnonzero(taken)}
 
 
 def train(rows: pd.DataFrame, seed: int = 7) -> Network:
-    """Windows (doc_id, y, words) to a network; the same for the same rows."""
+    """Windows (doc_id, y, words) to a network; the same for the same rows. Copies of a
+    document count once, and copies of a window teach once."""
     rows = rows.sort_values(["doc_id", "y", "words"]).reset_index(drop=True)
+    docs = sorted({(y, tuple(sorted(set(w)))) for (_, y), w in rows.groupby(["doc_id", "y"], sort=True)["words"]})
+    sets = [{w for t in own for w in t.split(" ")} for _, own in docs]
+    rows = rows.drop_duplicates(["y", "words"])
     texts, label = [w.split(" ") for w in rows["words"]], rows["y"].to_numpy() == 1
-    docs = rows.groupby(["doc_id", "y"], sort=True)["words"].agg(lambda x: {w for t in x for w in t.split(" ")}) if len(rows) else pd.Series(dtype=object)
-    counts = Counter(w for ws in docs for w in ws)
+    counts = Counter(w for ws in sets for w in ws)
     common = sorted((w for w, n in counts.items() if n >= LEAST_COUNT), key=lambda w: (-counts[w], w))[:VOCABULARY]
     net, g = Network({w: i + 1 for i, w in enumerate(common)}, seed), np.random.default_rng(seed)
-    seeds = leaning([beginnings(ws) for ws in docs], np.array([y == 1 for _, y in docs.index], bool))
+    seeds = leaning([beginnings(ws) for ws in sets], np.array([y == 1 for y, _ in docs], bool))
     toxic = np.array([bool(y) and not seeds.isdisjoint(beginnings(set(t))) for y, t in zip(label, texts, strict=True)], bool)
     seeded, harmless = toxic, np.flatnonzero(~label)
     mean = {k: np.zeros_like(v) for k, v in net.p.items()}
     square = {k: np.zeros_like(v) for k, v in net.p.items()}
-    step = 0
-    for steps in ROUNDS:
+    step, sums = 0, {k: np.zeros_like(v) for k, v in net.p.items()}
+    for last, steps in zip([False] * (len(ROUNDS) - 1) + [True], ROUNDS, strict=True):
         positive = np.flatnonzero(toxic)
         if not len(positive) or not len(harmless):
             # Nothing to tell apart: every window gets the one label there is, if any.
@@ -226,6 +247,11 @@ def train(rows: pd.DataFrame, seed: int = 7) -> Network:
                 mean[k] += 0.1 * (d - mean[k])
                 square[k] += 0.01 * (d * d - square[k])
                 v -= (RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                if last:
+                    sums[k] += v
+        if last:
+            net.p = {k: v / np.float32(steps) for k, v in sums.items()}
+            return net
         scores = scored(net, texts)
         toxic = seeded | (label & (scores > max(0.5, np.quantile(scores[harmless], ABOVE))))
     return net
