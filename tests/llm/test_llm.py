@@ -1,6 +1,7 @@
 """The training-data operators: DuckDB twins, brute force, round trips, held-out accuracy,
 and odd tables (nulls, empty and long texts, ties, repeated rows, clashing columns)."""
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -239,6 +240,30 @@ def test_bloom_likeness(spark, odd, empty):
     assert bloom.with_next(odd[0]).count() == len(odd[1]) and bloom.with_next(empty).count() == 0
 
 
+def test_bloom_edited_is_nearer_than_next(spark, tmp_dir):
+    g = random.Random(9)
+    line = lambda n: " ".join("".join(g.choice("abcdeimnost") for _ in range(6)) for _ in range(n))
+    again = "one and the same line"
+    texts = [line(12), line(25), line(60), f"{line(10)}\n" * 40, "\n".join([again] * 9), "\n".join([again] * 8), ""]
+    path = f"{tmp_dir}/documents.parquet"
+    docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]).write.parquet(path)
+
+    def pieces(t):
+        return Counter(p for x in t.split("\n") for p in re.findall(r"[^\n]{10,28}?[aeiou.,;:!?] |[^\n]{10,29} |[^\n]{1,30}", x))
+
+    def near(a, b):
+        a, b = pieces(a), pieces(b)
+        return 2 * (a & b).total() / (a + b).total() if a or b else 1.0
+
+    for r in bloom.op8_bloom(spark, tmp_dir).collect():
+        text, after = texts[r["doc_id"]], texts[r["doc_id"] - 1]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert (r["near_edited"], r["near_next"]) == pytest.approx((near(text, edited), near(text, after)))
+        assert r["near_edited"] > 0
+    assert near(texts[4], texts[5]) > 0.9
+
+
 def test_bloom_recovers_differences(spark):
     g = random.Random(6)
     sets = [(i, sorted(g.sample(range(10**6), a)), sorted(g.sample(range(10**6), b))) for i, (a, b) in enumerate([(0, 0), (1, 0), (3, 3), (30, 40), (400, 500), (0, 900)])]

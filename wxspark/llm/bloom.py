@@ -1,7 +1,10 @@
 """Document fingerprints by invertible Bloom lookup tables (DataFrame functions only).
 
-A text is the set of its paragraph digests: 64-bit hashes of its lines (long ones cut
-every ``PARAGRAPH`` code points), a line that repeats counting once with its number. A
+A text is the set of its piece digests. Pieces are parts of a line of 12 to 30 code points,
+cut where a word ends in a letter or sign of PIECE (so that cuts follow the text, not its
+offsets), else after a word or at 30; the last of a line may be shorter. A digest is a 64-bit hash of a piece and the
+number of its occurrence: k copies of one are k digests. Half of a text of fewer than some
+60 code points may be shorter than a piece, and then has none in common with the whole. A
 sketch has CELLS cells in three equal rows; a digest enters one cell of each row, adding
 one to its count and folding digest and check into it by exclusive or. The fingerprint is
 the text's sketch. The sketch of one text less that of another holds the digests in which
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wxspark.llm.common import read, without, written
 
-PARAGRAPH, CELLS, ROUNDS = 256, 24, 6
+PIECE, CELLS, ROUNDS = "[^\n]{10,28}?[aeiou.,;:!?] |[^\n]{10,29} |[^\n]{1,30}", 24, 6
 #: Digests of a pair that share a group after a failure, about; groups that a failed
 #: sketch is dealt into, at most (larger ones are dealt again).
 GROUP, FANOUT = 6, 64
@@ -28,13 +31,13 @@ RANGES, RANGE_ROWS = 4096, 256
 NONE = "cast(array() as array<bigint>)"
 
 
-def paragraph_digests(text: Column | str) -> Column:
-    """Digests of a text: sorted, distinct; none for an empty one. Not null."""
-    return F.sort_array(F.transform(F.regexp_extract_all(text, F.lit(f"[^\n]{{1,{PARAGRAPH}}}"), F.lit(0)), lambda p: F.xxhash64(p)))
+def piece_digests(text: Column | str) -> Column:
+    """Hashes of a text's pieces: sorted, with repeats; none for an empty one. Not null."""
+    return F.sort_array(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.xxhash64(p)))
 
 
 def _as_set(hashes: str) -> Column:
-    """Sorted hashes to one digest for each, of the hash and how often it occurs."""
+    """Sorted hashes to one digest for each occurrence, of the hash and its number."""
     n = F.size(hashes)
     ends = F.filter(
         F.transform(
@@ -44,7 +47,8 @@ def _as_set(hashes: str) -> Column:
         lambda x: x["last"],
     )
     before = F.concat(F.array(F.lit(0)), F.transform(ends, lambda x: x["upto"]))
-    counted = F.filter(F.zip_with(ends, before, lambda x, b: F.when(x.isNotNull(), F.xxhash64(x["h"], x["upto"] - b))), lambda x: x.isNotNull())
+    each = lambda x, b: F.transform(F.sequence(F.lit(1), x["upto"] - b), lambda i: F.xxhash64(x["h"], i))
+    counted = F.flatten(F.filter(F.zip_with(ends, before, lambda x, b: F.when(x.isNotNull(), each(x, b))), lambda x: x.isNotNull()))
     plain = F.transform(hashes, lambda h: F.xxhash64(h, F.lit(1)))
     return F.when(F.size(F.array_distinct(hashes)) == n, plain).otherwise(counted)
 
@@ -178,7 +182,7 @@ def fingerprint_versions(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
     d = d.withColumn("edited", edited)
     for name, text in (("own", "text"), ("edit", "edited"), ("next", "next_text")):
-        d = d.withColumn(f"{name}_h", paragraph_digests(text))
+        d = d.withColumn(f"{name}_h", piece_digests(text))
     d = d.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[_as_set(f"{x}_h").alias(x) for x in ("own", "edit", "next")])
     return written(d.select(F.monotonically_increasing_id().alias("id"), "*", *[_cells(_entries(x, 1)).alias(f"{x}_cells") for x in ("own", "edit", "next")]), "sketches")
 
