@@ -4,6 +4,7 @@ and odd tables (nulls, empty and long texts, ties, repeated rows, clashing colum
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -174,10 +175,17 @@ def ids_of(tokenizer, text, end):
 TEXTS = ["", " ", "a  b", "a   b", "\n a", "x\n \ny z", "foo\n bar\t baz ", " lead", "é ß 日本 \U0001f600", "don't  stop", "a <|endoftext|> b", "x  y"]
 
 
-def test_encoder_is_the_tokenizer(tokenizer):
-    encode = tokens.encoder(tokenizer)
-    for text, raw in zip(TEXTS * 2, encode(TEXTS * 2), strict=True):
-        assert raw == ids_of(tokenizer, text, 0)[:-1].tobytes(), text
+def test_encoder_is_the_tokenizer(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    texts = [*TEXTS, None, "", " ", "\n", " lead", "trail ", "a\n b", "Été, été. ñandú; x9, don't won't.", "w" * 100 + " " + "w" * 100, "a  b   c", "été\u00a0été \u2003 x"] * 2
+    for kept in (tokens.KEPT_WORDS, 3):  # the second starts anew all the time
+        monkeypatch.setattr(tokens, "KEPT_WORDS", kept)
+        model = tokens.Encoder(tokenizer)
+        for _ in range(2):
+            ids, sizes = model.encode(pa.array(texts, pa.string()), 9)
+            want = [np.append(ids_of(tokenizer, t, 0)[:-1], 9) for t in texts]
+            assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == np.concatenate(want).tolist()
 
 
 def test_token_file_round_trip(spark, odd, empty, tokenizer, monkeypatch):
@@ -214,6 +222,29 @@ def test_packing(spark, odd, empty, tokenizer):
     assert packing.pack_documents(empty, tokenizer, 0).count() == 0
 
 
+def test_pieces_are_the_tokens(spark, tokenizer, tmp_path):
+    """op7 over whole tables against plain tokenization, and its number of sequences against
+    the least that the tokens need."""
+    g = random.Random(8)
+    rows = [(i, " ".join(g.choice(["the", "of", "été,", "x9"]) + str(g.randrange(50)) for _ in range(g.choice([3, 40, 700, 900, 2500])))) for i in range(60)]
+    rows += [(60, None), (61, ""), (62, "a b"), (62, "a b"), (62, "another text"), (None, "no id"), (63, "z" * 9000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("piece", F.lit(-1)).write.parquet(str(tmp_path / "documents.parquet"))
+    out = packing.op7_packing(spark, str(tmp_path)).toPandas()
+    want, total = Counter(), 0
+    for doc, text in rows:
+        ids = ids_of(tokenizer, text, 0)
+        total += len(ids)
+        cuts = [0, *range((len(ids) - 1) % 2048 + 1, len(ids) + 1, 2048)]
+        for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            want[doc, k, s, e - s, zlib.crc32(ids[s:e].astype("<u4").tobytes())] += 1
+    got = out.astype(object).where(out.notna(), None)[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False)
+    assert Counter(tuple(None if v is None else int(v) for v in r) for r in got) == want
+    out = out.sort_values(["sequence_id", "offset"])
+    assert (out.groupby("sequence_id")["length"].cumsum() - out["length"] == out["offset"]).all()
+    assert out.groupby("sequence_id")["length"].sum().max() <= 2048
+    assert out["sequence_id"].nunique() <= -(-total // 2048) + 3
+
+
 def test_plan_places_every_piece_once():
     g = random.Random(4)
     for _ in range(30):
@@ -244,33 +275,46 @@ def test_bloom_edited_is_nearer_than_next(spark, tmp_dir):
     g = random.Random(9)
     line = lambda n: " ".join("".join(g.choice("abcdeimnost") for _ in range(6)) for _ in range(n))
     again = "one and the same line"
-    texts = [line(12), line(25), line(60), f"{line(10)}\n" * 40, "\n".join([again] * 9), "\n".join([again] * 8), ""]
+    texts = [line(15), line(25), line(60), f"{line(10)}\n" * 40, "\n".join([again] * 9), "\n".join([again] * 8), "", None, "\n".join(line(g.randrange(60)) for _ in range(700)), line(9000), "\n"]
     path = f"{tmp_dir}/documents.parquet"
     docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]).write.parquet(path)
 
+    first = re.compile(r"[^\n]{30,46}?[aeiou.,;:!?] |[^\n]{30,47} |[^\n]{1,48}")
+    later = re.compile(r"[^\n]{90,158}?[aeiou.,;:!?] |[^\n]{90,159} |[^\n]{1,160}")
+
     def pieces(t):
-        return Counter(p for x in t.split("\n") for p in re.findall(r"[^\n]{10,28}?[aeiou.,;:!?] |[^\n]{10,29} |[^\n]{1,30}", x))
+        out = Counter()
+        for x in t.split("\n"):
+            if x:
+                head = first.match(x).group()
+                out.update([head, *later.findall(x[len(head) :])])
+        return out
 
     def near(a, b):
         a, b = pieces(a), pieces(b)
         return 2 * (a & b).total() / (a + b).total() if a or b else 1.0
 
     for r in bloom.op8_bloom(spark, tmp_dir).collect():
-        text, after = texts[r["doc_id"]], texts[r["doc_id"] - 1]
+        text, after = texts[r["doc_id"]] or "", texts[r["doc_id"] - 1] or ""
+        assert r["n_chars"] == len(text) and (r["fingerprint"] == r["edited_fingerprint"]) == (pieces(text) == pieces(text[: len(text) - len(text) // 2] + after[: len(text) // 2]))
         edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
         assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert (r["near_edited"], r["near_next"]) == pytest.approx((near(text, edited), near(text, after)))
-        assert r["near_edited"] > 0
+        assert len(text) < 100 or r["near_edited"] > max(0, r["near_next"]) or r["doc_id"] == 5
     assert near(texts[4], texts[5]) > 0.9
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_dir}/none/documents.parquet")
+    assert bloom.op8_bloom(spark, f"{tmp_dir}/none").count() == 0
+    docs_of(spark, [(None, "x" * 50, "en", "a")]).select("*", F.lit(1).alias("own"), F.lit(2).alias("n_chars_")).write.parquet(f"{tmp_dir}/one/documents.parquet")
+    assert [r["near_next"] for r in bloom.op8_bloom(spark, f"{tmp_dir}/one").collect()] == [1.0]
 
 
 def test_bloom_recovers_differences(spark):
     g = random.Random(6)
-    sets = [(i, sorted(g.sample(range(10**6), a)), sorted(g.sample(range(10**6), b))) for i, (a, b) in enumerate([(0, 0), (1, 0), (3, 3), (30, 40), (400, 500), (0, 900)])]
+    sets = [(i, sorted(g.sample(range(10**6), a)), sorted(g.sample(range(10**6), b))) for i, (a, b) in enumerate([(0, 0), (1, 0), (3, 3), (30, 40), (400, 500), (0, 900), (7000, 8000)])]
     sets.append((9, list(range(200)), list(range(5, 205))))
     p = spark.createDataFrame(sets, "id long, a array<bigint>, b array<bigint>")
-    p = p.withColumn("x", bloom._cells(bloom._entries("a", 1))).withColumn("y", bloom._cells(bloom._entries("b", 1)))
-    got = {r["id"]: (r["only_a"], r["only_b"]) for r in bloom.differences(p.select("id", "a", "b", bloom._less("x", "y").alias("cells"))).collect()}
+    p = p.withColumn("x", F.expr(bloom.sketch(bloom.entries("a")))).withColumn("y", F.expr(bloom.sketch(bloom.entries("b"))))
+    got = {r["id"]: (r["only_a"], r["only_b"]) for r in bloom.differences(p.select("id", "a", "b", F.expr(bloom.less("x", "y")).alias("cells"))).collect()}
     for i, a, b in sets:
         assert got[i] == (sorted(set(a) - set(b)), sorted(set(b) - set(a)))
 

@@ -1,11 +1,11 @@
 """Document fingerprints by invertible Bloom lookup tables (DataFrame functions only).
 
-A text is the set of its piece digests. Pieces are parts of a line of 12 to 30 code points,
-cut where a word ends in a letter or sign of PIECE (so that cuts follow the text, not its
-offsets), else after a word or at 30; the last of a line may be shorter. A digest is a 64-bit hash of a piece and the
-number of its occurrence: k copies of one are k digests. Half of a text of fewer than some
-60 code points may be shorter than a piece, and then has none in common with the whole. A
-sketch has CELLS cells in three equal rows; a digest enters one cell of each row, adding
+A text is the set of its piece digests. Pieces are parts of a line, cut where a word ends in
+a letter or sign of PIECE (so that cuts follow the text, not its offsets), else after a word
+or at the limit: the first of a line has 32 to 48 code points, so a text of 100 has a piece
+in its first half, those after it 92 to 160, and the last may be shorter. A digest is a 64-bit hash of a piece and the
+number of its occurrence: k copies of one are k digests. A sketch has CELLS cells in three
+equal rows; a digest enters one cell of each row, named by three bits of its own, adding
 one to its count and folding digest and check into it by exclusive or. The fingerprint is
 the text's sketch. The sketch of one text less that of another holds the digests in which
 they differ: cells with a count of one or minus one give theirs up, and peeling goes on
@@ -15,6 +15,7 @@ digests with a sketch each), which peel alone, and again for those that still fa
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,13 +23,15 @@ from pyspark.sql import functions as F
 
 from wxspark.llm.common import read, without, written
 
-PIECE, CELLS, ROUNDS = "[^\n]{10,28}?[aeiou.,;:!?] |[^\n]{10,29} |[^\n]{1,30}", 24, 6
-#: Digests of a pair that share a group after a failure, about; groups that a failed
-#: sketch is dealt into, at most (larger ones are dealt again).
-GROUP, FANOUT = 6, 64
-#: Ranges of doc_id that find each document's next, at most, and documents of one, about.
-RANGES, RANGE_ROWS = 4096, 256
-NONE = "cast(array() as array<bigint>)"
+PIECE = "(?m)^(?:[^\n]{30,46}?[aeiou.,;:!?] |[^\n]{30,47} |[^\n]{1,48})|[^\n]{90,158}?[aeiou.,;:!?] |[^\n]{90,159} |[^\n]{1,160}"
+CELLS, THIRD, ROUNDS = 24, 8, 6
+#: Digests of a pair that share a group after a failure, about, and after a further one;
+#: groups that a failed sketch is dealt into, at most (larger ones are dealt again).
+GROUP, SMALL, FANOUT = 10, 4, 64
+#: Ranges of doc_id that find each document's next, at most, and documents of one, at least.
+#: Beyond that ranges grow; they are sorted, never held.
+RANGES, RANGE_ROWS = 1 << 15, 64
+NONE, FOUND = "cast(array() as array<bigint>)", "cast(array() as array<struct<k:bigint,n:int>>)"
 
 
 def piece_digests(text: Column | str) -> Column:
@@ -36,7 +39,7 @@ def piece_digests(text: Column | str) -> Column:
     return F.sort_array(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.xxhash64(p)))
 
 
-def _as_set(hashes: str) -> Column:
+def as_set(hashes: str) -> Column:
     """Sorted hashes to one digest for each occurrence, of the hash and its number."""
     n = F.size(hashes)
     ends = F.filter(
@@ -53,33 +56,29 @@ def _as_set(hashes: str) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == n, plain).otherwise(counted)
 
 
-def _cell(key: Column, row: int) -> Column:
-    return (F.pmod(F.xxhash64(key, F.lit(f"row{row}")), F.lit(CELLS // 3)) + row * CELLS // 3).cast("int")
+def let(name: str, value: str, use: str) -> str:
+    """``use`` of a value that is worked out once: a lambda over an array of one. Like the
+    functions below it takes and gives SQL text: peeling is one deep expression, which the
+    client would build call by call."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
 
 
-def _entry(key: Column, sign: Column) -> Column:
-    return F.struct(key.alias("k"), sign.alias("n"), F.xxhash64(key, F.lit("check")).alias("s"), *[_cell(key, r).alias(f"c{r}") for r in range(3)])
+def entry(k: str, n: str, s: str) -> str:
+    """A digest with its sign, its check, and the cell that it enters in each row."""
+    cells = ", ".join(f"'c{r}', cast(shiftright({k}, {3 * r}) & {THIRD - 1}L as int)" for r in range(3))
+    return f"named_struct('k', {k}, 'n', {n}, 's', {s}, {cells})"
 
 
-def _hit(e: Column, i: Column) -> Column:
-    return (e["c0"] == i) | (e["c1"] == i) | (e["c2"] == i)
+def entries(digests: str, sign: int = 1) -> str:
+    return f"transform({digests}, k -> {entry('k', str(sign), 'xxhash64(k)')})"
 
 
-def _empty() -> Column:
-    return F.struct(F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("s"))
-
-
-def _cells(entries: Column) -> Column:
-    """The sketch of signed entries."""
-
-    def fold(acc, e, i):
-        return F.when(_hit(e, i), F.struct((acc["n"] + e["n"]).alias("n"), acc["k"].bitwiseXOR(e["k"]).alias("k"), acc["s"].bitwiseXOR(e["s"]).alias("s"))).otherwise(acc)
-
-    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda i: F.aggregate(entries, _empty(), lambda acc, e: fold(acc, e, i)))
-
-
-def _entries(digests: Column | str, sign: int) -> Column:
-    return F.transform(digests, lambda k: _entry(k, F.lit(sign)))
+def sketch(of: str) -> str:
+    """The cells of ``entries``, row after row: signs summed, digests and checks folded."""
+    fold = lambda part: f"aggregate(own, 0L, (x, e) -> x ^ e.{part})"
+    cell = f"named_struct('n', aggregate(own, 0, (x, e) -> x + e.n), 'k', {fold('k')}, 's', {fold('s')})"
+    row = lambda r: f"transform(sequence(0, {THIRD - 1}), i -> {let('own', f'filter(es, e -> e.c{r} = i)', cell)})"
+    return let("es", of, f"concat({row(0)}, {row(1)}, {row(2)})")
 
 
 def sketch_string(cells: str) -> Column:
@@ -87,128 +86,171 @@ def sketch_string(cells: str) -> Column:
     return F.array_join(F.transform(cells, lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["k"]), F.hex(c["s"]))), " ")
 
 
-def _less(a: str, b: str) -> Column:
+def less(a: str, b: str) -> str:
     """Sketch ``a`` less sketch ``b``."""
-    return F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["s"].bitwiseXOR(y["s"]).alias("s")))
-
-
-def _peel(d: DataFrame, cells: str) -> DataFrame:
-    """Adds ``found`` (entries with k and the sign n) and ``clean`` (all cells are empty)."""
-    start = F.struct(F.col(cells).alias("cells"), F.array().cast("array<struct<k:bigint,n:int>>").alias("found"))
-
-    def step(acc, _):
-        pure = F.filter(acc["cells"], lambda c: (F.abs(c["n"]) == 1) & (F.xxhash64(c["k"], F.lit("check")) == c["s"]))
-        pure = F.transform(F.array_distinct(F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n")))), lambda c: _entry(c["k"], c["n"]))
-
-        def taken(p):
-            drop = lambda acc, e, i: F.when(_hit(e, i), F.struct((acc["n"] - e["n"]).alias("n"), acc["k"].bitwiseXOR(e["k"]).alias("k"), acc["s"].bitwiseXOR(e["s"]).alias("s"))).otherwise(acc)
-            rest = F.transform(acc["cells"], lambda c, i: F.aggregate(p, c, lambda a, e: drop(a, e, i)))
-            return F.struct(rest.alias("cells"), F.concat(acc["found"], F.transform(p, lambda e: F.struct(e["k"].alias("k"), e["n"].alias("n")))).alias("found"))
-
-        # An array of one, so that what was found is worked out once and not for each cell.
-        return F.when(F.size(pure) > 0, F.get(F.transform(F.array(pure), taken), F.lit(0))).otherwise(acc)
-
-    done = d.withColumn("__wx_end", F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step))
-    clean = ~F.exists("__wx_end.cells", lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["s"] != 0))
-    return done.select(*d.columns, F.col("__wx_end.found").alias("found"), clean.alias("clean"))
+    return f"zip_with({a}, {b}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 's', x.s ^ y.s))"
+
+
+def peeled(cells: str) -> str:
+    """(found, clean) of a difference: the digests with their signs, as far as cells give them
+    up, and whether all of them did. Each row of cells is an array of its own, in which a
+    digest has one cell."""
+    rows, empty = range(3), "c.n != 0 or c.k != 0 or c.s != 0"
+    state = lambda row, found, more: f"named_struct({', '.join(f"'r{r}', {row(r)}" for r in rows)}, 'found', {found}, 'more', {more})"
+    pure = ", ".join(f"filter(acc.r{r}, c -> abs(c.n) = 1 and xxhash64(c.k) = c.s)" for r in rows)
+    pure = f"transform(array_distinct(concat({pure})), c -> {entry('c.k', 'c.n', 'c.s')})"
+    out = "named_struct('n', c.n - e.n, 'k', c.k ^ e.k, 's', c.s ^ e.s)"
+    left = lambda r: f"aggregate(p, acc.r{r}, (x, e) -> transform(x, (c, i) -> if(i = e.c{r}, {out}, c)))"
+    taken = state(left, "concat(acc.found, transform(p, c -> named_struct('k', c.k, 'n', c.n)))", "true")
+    stay = state(lambda r: f"acc.r{r}", "acc.found", "false")
+    step = let("p", pure, f"if(size(p) = 0, {stay}, {taken})")
+    start = let("cells", cells, state(lambda r: f"slice(cells, {THIRD * r + 1}, {THIRD})", FOUND, "true"))
+    end = f"aggregate(sequence(1, {ROUNDS}), {start}, (acc, r) -> if(acc.more, {step}, acc))"
+    return let("end", end, f"named_struct('found', end.found, 'clean', not exists(concat(end.r0, end.r1, end.r2), c -> {empty}))")
+
+
+def dealt(a: str, b: str, level: int) -> str:
+    """Digests of a failed pair, dealt into groups by hash and peeled alone: for each group
+    found and clean, and its digests a and b where it is not clean. Where groups would hold
+    many more digests than cells, they are left to be dealt again."""
+    # The three lowest octal digits name cells, so groups go by the digits above them.
+    share = "shiftrightunsigned(k, 9)" if level == 1 else f"xxhash64(k, 'level{level}')"
+    size, group = f"(size({a}) + size({b}))", GROUP if level == 1 else SMALL
+    groups = f"cast(greatest(2, least({FANOUT}, ceil({size} / {group}))) as bigint)"
+    mine = lambda side: f"filter({side}, k -> pmod({share}, groups) = g)"
+    peel = f"if({size} > {4 * CELLS * FANOUT}, named_struct('found', {FOUND}, 'clean', false), {peeled(sketch(f'concat({entries("pair.a")}, {entries("pair.b", -1)})'))})"
+    one = let("p", peel, "named_struct('found', p.found, 'clean', p.clean, 'a', if(p.clean, null, pair.a), 'b', if(p.clean, null, pair.b))")
+    each = let("pair", f"named_struct('a', {mine(a)}, 'b', {mine(b)})", one)
+    return let("groups", groups, f"transform(sequence(0L, groups - 1L), g -> {each})")
+
+
+def retried(a: str, b: str, cells: str) -> str:
+    """Peels the difference ``cells`` of two sets and, where that fails, their groups: an
+    array like that of ``dealt``."""
+    first = f"array(named_struct('found', p.found, 'clean', true, 'a', {NONE}, 'b', {NONE}))"
+    return let("p", peeled(cells), f"if(p.clean, {first}, {dealt(a, b, 1)})")
+
+
+def found_in(groups: str) -> Column:
+    return F.expr(f"flatten(transform(filter({groups}, x -> x.clean), x -> x.found))")
+
+
+def failed_in(groups: str) -> Column:
+    return F.expr(f"transform(filter({groups}, x -> not x.clean), x -> named_struct('a', x.a, 'b', x.b))")
+
+
+def remaining(failed: DataFrame, keep: Callable[[Column], Column]) -> list[DataFrame]:
+    """(id, failed) to (id, found) for each level: ``keep`` of what a group gives up. Each
+    level is written, and levels end when none fail, as digests that share a group part by
+    a fresh hash at each level."""
+    level, parts = 1, []
+    todo = failed.select("id", F.explode("failed").alias("p")).select("id", "p.a", "p.b")
+    while todo.limit(1).count():
+        level += 1
+        out = todo.select("id", F.expr(dealt("a", "b", level)).alias("g"))
+        out = written(out.select("id", keep(found_in("g")).alias("found"), failed_in("g").alias("failed")), "peeled")
+        parts.append(out.select("id", "found"))
+        todo = out.select("id", F.explode("failed").alias("p")).select("id", "p.a", "p.b")
+    return parts
 
 
 def differences(pairs: DataFrame) -> DataFrame:
     """(id, a, b, cells), arrays of distinct digests and the sketch of a less that of b, to
-    (id, only_a, only_b): the digests that peeling recovers, all of them. Ids are unique.
-
-    The failures of a level are written and dealt into groups; levels end when none fail,
-    as digests that share a group part by a fresh hash at each level.
-    """
-    level, parts, todo = 0, [], pairs.select("id", "a", "b", "cells")
-    while True:
-        peeled = written(_peel(todo, "cells").drop("cells"), "peeled")
-        parts.append(peeled.filter("clean").select("id", "found"))
-        failed = peeled.filter("not clean").select("id", "a", "b")
-        if not failed.limit(1).count():
-            break
-        level += 1
-        n = F.size("a") + F.size("b")
-        failed = failed.withColumn("groups", F.greatest(F.lit(2), F.least(F.lit(FANOUT), F.ceil(n / GROUP))))
-        dealt = failed.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("groups") - 1)).alias("g"))
-        own = lambda k, level=level: F.pmod(F.xxhash64(k, F.lit(f"level{level}")), F.col("groups")) == F.col("g")
-        mine = lambda c: F.filter(c, lambda k: own(k))
-        todo = dealt.select("id", mine("a").alias("a"), mine("b").alias("b")).filter("size(a) + size(b) > 0")
-        todo = todo.withColumn("ca", _cells(_entries("a", 1))).withColumn("cb", _cells(_entries("b", 1)))
-        todo = todo.select("id", "a", "b", _less("ca", "cb").alias("cells"))
+    (id, only_a, only_b): the digests that peeling recovers, all of them. Ids are unique."""
+    first = pairs.select("id", F.expr(retried("a", "b", "cells")).alias("g"))
+    first = written(first.select("id", found_in("g").alias("found"), failed_in("g").alias("failed")), "peeled")
+    parts = [first.select("id", "found"), *remaining(first, lambda f: f)]
     found = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.flatten(F.collect_list("found")).alias("found"))
     side = lambda sign: F.sort_array(F.transform(F.filter("found", lambda e: e["n"] == sign), lambda e: e["k"]))
     return found.select("id", side(1).alias("only_a"), side(-1).alias("only_b"))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, ...) with next_text: the text of the document next in descending order
-    of doc_id (null ids last; rows of one id by text); the last row's next is the first.
+def in_ranges(docs: DataFrame) -> tuple[DataFrame, Window]:
+    """``docs`` (doc_id, text, ...) in ranges of doc_id, with __wx_h (guest, r), and the order
+    of rows in a range: descending doc_id, null last; rows of one id by text.
 
-    Rows go to ranges of doc_id. Bounds are doc_ids of the table, so the largest id of a
-    range is known and its rows are also sent, as guests, to the range before it in this
-    order, where they follow its last row; the largest of all go to the last range.
+    Bounds are doc_ids of the table, so the largest id of a range is known and its rows are
+    also sent, as guests, to the range before it in this order, where they follow its last
+    row; the largest of all go to the last range. So the next row in a range is the next
+    document, and after the last the first.
     """
-    docs = without(docs, "next_text")
     n = docs.count()
     k = max(1, min(RANGES, n // RANGE_ROWS))
     probs = [i / k for i in range(1, k)] or [0.5]
-    row = docs.agg(F.percentile_approx("doc_id", probs, 10_000).alias("p"), F.max("doc_id").alias("top"), F.max(F.when(F.col("doc_id").isNull(), 1)).alias("nulls")).first()
+    row = docs.agg(F.percentile_approx("doc_id", probs, 4 * max(k, 2500)).alias("p"), F.max("doc_id").alias("top")).first()
     bounds = sorted({*(row["p"] or []), *([] if row["top"] is None else [row["top"]])})
-    at, doc = F.array(*[F.lit(b).cast("bigint") for b in bounds]), F.col("doc_id")
+    at, doc = F.lit(bounds).cast("array<bigint>") if bounds else F.expr(NONE), F.col("doc_id")
     steps = [1 << i for i in reversed(range(max(1, len(bounds)).bit_length()))]
     # How many bounds are under the id, by halving; ids up to the first bound, and null: 0.
     below = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda p, s: F.when((p + s <= len(bounds)) & (F.get(at, p + s - 1) < doc), p + s).otherwise(p))
     below = F.when(doc.isNull() | F.lit(not bounds), 0).otherwise(below)
     d = docs.withColumn("__wx_r", below)
     if bounds:
-        guest = F.when(F.col("doc_id") == bounds[-1], F.lit(0)).when(F.array_contains(at, doc), F.col("__wx_r") + 1)
+        guest = F.when(F.col("doc_id") == bounds[-1], F.lit(0)).when(F.get(at, F.col("__wx_r")) == doc, F.col("__wx_r") + 1)
     else:
         guest = F.lit(0)  # only null ids, if any row: one range, which follows itself
     here, there = F.struct(F.lit(False).alias("guest"), F.col("__wx_r").alias("r")), F.struct(F.lit(True).alias("guest"), guest.alias("r"))
     both = F.when(guest.isNull(), F.array(here)).otherwise(F.array(here, there))
     d = d.withColumn("__wx_h", F.explode(both)).drop("__wx_r")
-    order = Window.partitionBy("__wx_h.r").orderBy("__wx_h.guest", F.col("doc_id").desc_nulls_last(), "text")
+    return d, Window.partitionBy("__wx_h.r").orderBy("__wx_h.guest", F.col("doc_id").desc_nulls_last(), "text")
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, ...) with next_text: the text of the document next in descending order
+    of doc_id (null ids last; rows of one id by text); the last row's next is the first."""
+    d, order = in_ranges(without(docs, "next_text"))
     d = d.withColumn("next_text", F.lead(F.coalesce("text", F.lit(""))).over(order))
     return d.filter(~F.col("__wx_h.guest")).drop("__wx_h")
 
 
 def fingerprint_versions(docs: DataFrame) -> DataFrame:
     """(doc_id, text) to a written table, one row per row: id (unique), doc_id, n_chars,
-    edited (text), digests and cells of the text, the edited text and the next document."""
-    d = with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    d = d.withColumn("n_chars", F.length("text").cast("bigint"))
+    edited_sha256, the cells of text and edited text, sizes of the digest sets of text,
+    edited text and next document, and for the pairs text - edited, text - next how many
+    digests peeling found and the groups that failed. Every text is sketched once; the next
+    row hands its digests and its sketch over."""
+    d, order = in_ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    d = d.withColumn("own", piece_digests("text")).withColumn("own", as_set("own"))
+    d = d.withColumn("own_cells", F.expr(sketch(entries("own"))))
+    for name in ("text", "own", "own_cells"):
+        d = d.withColumn(f"next_{name}".replace("own_", "").replace("own", "digests"), F.lead(name).over(order))
+    d = d.filter(~F.col("__wx_h.guest")).drop("__wx_h").withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
-    d = d.withColumn("edited", edited)
-    for name, text in (("own", "text"), ("edit", "edited"), ("next", "next_text")):
-        d = d.withColumn(f"{name}_h", piece_digests(text))
-    d = d.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[_as_set(f"{x}_h").alias(x) for x in ("own", "edit", "next")])
-    return written(d.select(F.monotonically_increasing_id().alias("id"), "*", *[_cells(_entries(x, 1)).alias(f"{x}_cells") for x in ("own", "edit", "next")]), "sketches")
+    d = d.withColumn("edited", edited).withColumn("edit", piece_digests("edited")).withColumn("edit", as_set("edit"))
+    d = d.withColumn("edit_cells", F.expr(sketch(entries("edit"))))
+    for name, digests, cells in (("edited", "edit", "edit_cells"), ("next", "next_digests", "next_cells")):
+        d = d.withColumn(f"{name}_g", F.expr(retried("own", digests, less("own_cells", cells))))
+    out = d.select(
+        F.monotonically_increasing_id().alias("id"), "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own_cells", "edit_cells",
+        (F.size("own") + F.size("edit")).alias("edited_all"), (F.size("own") + F.size("next_digests")).alias("next_all"),
+        *[F.size(found_in(f"{x}_g")).alias(f"{x}_found") for x in ("edited", "next")],
+        *[failed_in(f"{x}_g").alias(f"{x}_failed") for x in ("edited", "next")],
+    )
+    return written(out, "sketches")
 
 
 def op8_bloom(spark, sf_dir: str) -> DataFrame:
     """Likeness is the share of all digests that two texts have in common, 1 for two empty
-    ones. Repeated rows are rows of their own; null text is empty."""
+    ones. Repeated rows are rows of their own; null text is empty; a table of one row is its
+    own next, an empty one gives an empty result."""
     v = fingerprint_versions(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    versions = F.array(*[F.struct(F.lit(i).alias("i"), F.col(x).alias("b"), F.col(f"{x}_cells").alias("c")) for i, x in enumerate(("edit", "next"))])
-    pairs = v.select("id", "own", "own_cells", F.explode(versions).alias("v"))
-    pairs = pairs.select((F.col("id") * 2 + F.col("v.i")).alias("id"), F.col("own").alias("a"), F.col("v.b").alias("b"), _less("own_cells", "v.c").alias("cells"))
-    apart = differences(pairs).select(
-        F.floor(F.col("id") / 2).alias("id"), (F.col("id") % 2).alias("i"), (F.size("only_a") + F.size("only_b")).alias("n")
-    )
-    apart = apart.groupBy("id").agg(F.sum(F.when(F.col("i") == 0, F.col("n"))).alias("n_edited"), F.sum(F.when(F.col("i") == 1, F.col("n"))).alias("n_next"))
+    versions = F.array(*[F.struct(F.lit(x).alias("i"), F.col(f"{x}_failed").alias("failed")) for x in ("edited", "next")])
+    failed = v.select("id", F.explode(versions).alias("v")).filter("size(v.failed) > 0")
+    failed = failed.select(F.struct("id", "v.i").alias("id"), "v.failed")
+    late = reduce(DataFrame.unionByName, remaining(failed, F.size), v.select(F.struct("id", F.lit("").alias("i")).alias("id"), F.lit(0).alias("found")).filter("false"))
+    late = late.groupBy("id.id").agg(*[F.sum(F.when(F.col("id.i") == x, F.col("found"))).alias(f"{x}_late") for x in ("edited", "next")])
 
-    def near(b: str, n: str) -> Column:
-        total = F.size("own") + F.size(b)
-        return F.when(total == 0, F.lit(1.0)).otherwise((total - F.coalesce(n, F.lit(0))) / total)
+    def near(x: str) -> Column:
+        total = F.col(f"{x}_all")
+        return F.when(total == 0, F.lit(1.0)).otherwise((total - F.col(f"{x}_found") - F.coalesce(f"{x}_late", F.lit(0))) / total)
 
-    return v.join(apart, "id", "left").select(
+    return v.join(late, "id", "left").select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         sketch_string("own_cells").alias("fingerprint"),
         sketch_string("edit_cells").alias("edited_fingerprint"),
-        near("edit", "n_edited").alias("near_edited"),
-        near("next", "n_next").alias("near_next"),
+        near("edited").alias("near_edited"),
+        near("next").alias("near_next"),
     )

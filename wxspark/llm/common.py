@@ -46,9 +46,10 @@ def hex_bucket(order: str, buckets: int) -> Column:
     return F.shiftright(F.conv(F.substring(order, 1, 8), 16, 10).cast("bigint") * F.lit(buckets), 32)
 
 
-def running_total(df: DataFrame, keys: list[str], order: str, ties: list[str], value: str, out: str, buckets: int) -> DataFrame:
+def running_total(df: DataFrame, keys: list[str], order: str, ties: list[str], value: str, out: str, buckets: int, measures: DataFrame | None = None) -> DataFrame:
     """Adds ``out``: the inclusive running total of ``value`` within ``keys``, by the hex
-    digest ``order`` and then ``ties``.
+    digest ``order`` and then ``ties``. ``measures``, if any, are the same rows with these
+    columns alone, from which totals are cheaper.
 
     Two levels, so that a hot key is no single task: totals of (key, digest range) are
     summed over the ranges, and rows run only within their range. ``keys`` must not be
@@ -57,7 +58,8 @@ def running_total(df: DataFrame, keys: list[str], order: str, ties: list[str], v
     d = df.withColumn("__wx_b", hex_bucket(order, buckets))
     before = Window.partitionBy(*keys).orderBy("__wx_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        d.groupBy(*keys, "__wx_b")
+        (d if measures is None else measures.withColumn("__wx_b", hex_bucket(order, buckets)))
+        .groupBy(*keys, "__wx_b")
         .agg(F.sum(value).alias("__wx_s"))
         .select(*keys, "__wx_b", F.coalesce(F.sum("__wx_s").over(before), F.lit(0)).alias("__wx_off"))
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import WORD, buckets_for, read, running_total, without
+from wxspark.llm.common import WORD, buckets_for, read, running_total, without, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -37,6 +37,17 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget_share: float = 1.0,
     return s.select("__wx_key", "source_size", F.least("__wx_cap", F.col("__wx_l") * F.col("__wx_w")).alias("target"))
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, source, anything else) with size and the working columns
+    __wx_key (source) and __wx_o (shuffled order)."""
+    return (
+        without(docs, "size", "source_size", "target", "passes", "taken")
+        .withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"))
+        .withColumn("__wx_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("~")))
+        .withColumn("__wx_o", F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
+    )
+
+
 def mix_sources(docs: DataFrame, weights=WEIGHTS, budget_share: float = 1.0, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """``docs`` (doc_id, text, source, anything else) with size, source_size, target,
     passes (how often the mix takes the document) and taken (size * passes).
@@ -47,16 +58,18 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, budget_share: float = 1.0, max
     are taken together or not at all. Input columns with the names of computed ones are
     replaced. An empty table gives an empty one.
     """
-    d = (
-        without(docs, "size", "source_size", "target", "passes", "taken")
-        .withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"))
-        .withColumn("__wx_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("~")))
-        .withColumn("__wx_o", F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
-    )
-    buckets = buckets_for(docs.count())
-    sizes = d.groupBy("__wx_key").agg(F.sum("size").alias("source_size"))
+    d = measured(docs)
+    sizes = written(d.select("doc_id", "size", "__wx_key", "__wx_o"), "measured")
+    return served(d, sizes, weights, budget_share, max_repeats)
+
+
+def served(d: DataFrame, measures: DataFrame, weights=WEIGHTS, budget_share: float = 1.0, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """``d``, rows of ``measured``, as ``mix_sources`` returns them. ``measures`` are the
+    same rows without their texts, written: all totals come from these."""
+    buckets = buckets_for(measures.count())
+    sizes = measures.groupBy("__wx_key").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, budget_share, max_repeats)
-    q = running_total(d, ["__wx_key"], "__wx_o", ["doc_id", "size"], "size", "__wx_c", buckets).join(targets, "__wx_key")
+    queue = lambda x: running_total(x, ["__wx_key"], "__wx_o", ["doc_id", "size"], "size", "__wx_c", buckets, measures).join(targets, "__wx_key")
 
     def finish(e):
         return (F.lit(e) * F.col("source_size") + F.col("__wx_c")) / F.col("target")
@@ -65,9 +78,10 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, budget_share: float = 1.0, max
     # their totals find the bin in which the budget ends, and only that bin is sorted.
     bins = 2 * buckets
     bin_of = lambda f: F.floor(F.least(f, F.lit(2.0)) * bins)
-    served = (F.col("size") > 0) & (F.col("target") > 0)
+    asked = (F.col("size") > 0) & (F.col("target") > 0)
     items = (
-        q.filter(served)
+        queue(measures)
+        .filter(asked)
         .select("size", F.explode(F.array(*[finish(e) for e in range(max_repeats)])).alias("f"))
         .withColumn("bin", bin_of(F.col("f")))
     )
@@ -83,17 +97,20 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, budget_share: float = 1.0, max
         taken = lambda f: (bin_of(f) < edge) | ((bin_of(f) == edge) & (f <= F.lit(cut)))
     else:
         taken = lambda f: f.isNotNull()
-    passes = sum((F.when(served & taken(finish(e)), 1).otherwise(0) for e in range(1, max_repeats)), F.when(served & taken(finish(0)), 1).otherwise(0))
+    passes = sum((F.when(asked & taken(finish(e)), 1).otherwise(0) for e in range(1, max_repeats)), F.when(asked & taken(finish(0)), 1).otherwise(0))
     return (
-        q.withColumn("passes", passes.cast("int"))
+        queue(d)
+        .withColumn("passes", passes.cast("int"))
         .withColumn("taken", F.col("size") * F.col("passes"))
         .drop("__wx_key", "__wx_o", "__wx_c")
     )
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    docs = measured(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    # Texts are read once: the result needs no more of them than their sizes.
+    sizes = written(docs.drop("text", "source"), "measured")
+    return served(sizes, sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE = r"""

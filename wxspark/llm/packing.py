@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wxspark.llm.common import buckets_for, read, running_total, written
-from wxspark.llm.tokens import TEXTS, encoder
+from wxspark.llm.tokens import binary_rows, encoder, id_type, slices, widened
 
 CAPACITY = 2048
 
@@ -87,27 +87,24 @@ def packing_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
     return sorted(plan)
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, kind: str = "<u4") -> DataFrame:
     """(doc_id, text, ...) to (doc_id, piece, start, length, ids): the ids of the whole text
     (null: empty) and ``end_id``, cut only where longer than ``capacity``, the first piece
-    taking the remainder; ids as little-endian uint32."""
-    names = ["doc_id", "piece", "start", "length", "ids"]
+    taking the remainder; ids of type ``kind``."""
 
     def run(batches):
-        encode, end = encoder(tokenizer), np.asarray([end_id], "<u4").tobytes()
+        model = encoder(tokenizer)
         for b in batches:
-            for i in range(0, len(b), TEXTS):
-                part = b.slice(i, TEXTS)
-                rows: list[list] = [[], [], [], [], []]
-                for doc, ids in zip(part.column(0).to_pylist(), encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    ids += end
-                    n = len(ids) // 4
-                    cuts = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
-                    for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                        for column, v in zip(rows, (doc, k, s, e - s, ids[4 * s : 4 * e]), strict=True):
-                            column.append(v)
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds, strict=True)], names)
+            for part in slices(b):
+                ids, sizes = model.encode(part.column(1), end_id)
+                pieces = -(-sizes // capacity)
+                of = np.repeat(np.arange(len(sizes)), pieces)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                first = (sizes - 1) % capacity + 1
+                length = np.where(piece == 0, first[of], capacity)
+                start = np.where(piece == 0, 0, first[of] + (piece - 1) * capacity)
+                columns = [part.column(0).take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), binary_rows(ids, length, kind)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids binary")
 
@@ -146,9 +143,14 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id, text, ...) to (doc_id, piece, start, length, ids, sequence_id, offset)."""
-    pieces = written(tokenized_pieces(docs, tokenizer, end_id, capacity), "pieces", compression="zstd")
-    return packed(pieces, capacity)
+    """(doc_id, text, ...) to (doc_id, piece, start, length, ids, sequence_id, offset), ids as
+    little-endian uint32. Null text is empty: a document always has its end id. Rows that
+    repeat an id are documents of their own, with pieces of the same numbers; a null id is
+    an id like others. An empty table gives an empty one; other columns are not read."""
+    kind = id_type(tokenizer, end_id)
+    pieces = written(tokenized_pieces(docs, tokenizer, end_id, capacity, kind), "pieces", compression="zstd")
+    widen = F.pandas_udf(lambda ids: ids.map(lambda x: widened(x, kind)), "binary")
+    return packed(pieces, capacity).withColumn("ids", widen("ids"))
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:

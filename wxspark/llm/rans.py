@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wxspark.llm.common import read, written
-from wxspark.llm.tokens import tokenized
+from wxspark.llm.tokens import id_type, tokenized
 
 PRECISION, LANES, BLOCK = 20, 1024, 1 << 17
-#: Ids of a part, about.
-PART = 1 << 22
+#: Ids of a part, about, and parts at most: beyond that they grow, and their blocks, each a
+#: checkpoint, stay as they are.
+PART, PARTS = 1 << 22, 1 << 14
 LOW = np.uint64(1 << 31)
 
 
@@ -100,8 +101,8 @@ class Coder:
 BLOCKS = "part int, block int, at bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, states binary, words binary, crc bigint"
 
 
-def write_ids(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, ids) to the written tables ``blocks`` and ``tables``.
+def write_ids(tokens: DataFrame, kind: str = "<u4") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, ids), ids of type ``kind``, to the written tables ``blocks`` and ``tables``.
 
     Documents are in ascending order of doc_id, null first; repeated ids by the CRC of
     their ids. An empty table gives two empty ones.
@@ -111,18 +112,17 @@ def write_ids(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                n = np.bincount(np.frombuffer(x.as_py() or b"", "<u4"))
-                if len(n) > len(total):
-                    n, total = total, n.copy()
-                total[: len(n)] += n
+            n = np.bincount(np.frombuffer(b"".join(x for x in b.column(0).to_pylist() if x), kind))
+            if len(n) > len(total):
+                n, total = total, n.copy()
+            total[: len(n)] += n
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
 
     # A count for each id: as many rows as the vocabulary has, at most.
     counts = tokens.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     freqs = frequencies({r["id"]: r["n"] for r in counts})
-    parts = max(1, -(-sum(r["n"] for r in counts) // PART))
+    parts = min(PARTS, max(1, -(-sum(r["n"] for r in counts) // PART)))
 
     def encode(batches):
         from pyspark import TaskContext
@@ -131,18 +131,19 @@ def write_ids(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
         block, at, docs, held = 0, 0, [], []
 
         def done():
-            raw = b"".join(held)
-            states, words = coder.encode(np.frombuffer(raw, "<u4"))
-            row = [part, block, at, len(raw) // 4, docs, [len(x) // 4 for x in held], states.astype("<u8").tobytes(), words.tobytes(), zlib.crc32(raw)]
+            ids, width = np.frombuffer(b"".join(held), kind), np.dtype(kind).itemsize
+            raw = ids.astype("<u4")
+            states, words = coder.encode(raw)
+            row = [part, block, at, len(raw), docs, [len(x) // width for x in held], states.astype("<u8").tobytes(), words.tobytes(), zlib.crc32(raw)]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], [c.split()[0] for c in BLOCKS.split(", ")])
 
-        size = 0
+        size, width = 0, np.dtype(kind).itemsize
         for b in batches:
             for doc, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 docs.append(doc)
                 held.append(ids.as_py() or b"")
-                size += len(held[-1]) // 4
+                size += len(held[-1]) // width
                 if size >= BLOCK:
                     yield done()
                     block, at, size, docs, held = block + 1, at + size, 0, [], []
@@ -162,7 +163,8 @@ def read_ids(blocks: DataFrame, tables: DataFrame) -> DataFrame:
     freqs = {r["id"]: r["freq"] for r in tables.collect()}  # no longer than the vocabulary
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_at"))
+    # Written, so that its size is known: blocks are not shuffled to meet a few rows.
+    parts = written(parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_at")), "rans-parts")
 
     def decode(batches):
         coder = Coder(freqs)
@@ -194,6 +196,8 @@ def op6_rans(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = written(tokenized(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2), "ids", compression="zstd")
-    back = read_ids(*write_ids(tokens))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    kind = id_type(path, end_id=2)
+    tokens = written(tokenized(docs, path, end_id=2, kind=kind), "ids", compression="zstd")
+    back = read_ids(*write_ids(tokens, kind))
     return back.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

@@ -2,68 +2,204 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-#: Words whose ids a worker keeps at most; beyond that it starts anew.
-KEPT_WORDS = 1_000_000
-#: Texts that are looked up together.
-TEXTS = 256
+#: Words whose ids a worker keeps, at most, and the longest kept; beyond the first it starts
+#: anew. Bytes of text that are looked up together, if there is more than one text.
+KEPT_WORDS, KEPT_LENGTH, BYTES = 1_000_000, 64, 1 << 23
+#: Texts where a word's ids may depend on its neighbours; letters that are one pre-token,
+#: and a sign after them that is one too.
+ODD, PLAIN = re.compile(r"\s \s"), re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+
+
+def id_type(tokenizer: str, end_id: int = 0) -> str:
+    """Narrowest little-endian type that holds all ids: two bytes, or four."""
+    import tokenizers
+
+    top = max(tokenizers.Tokenizer.from_file(tokenizer).get_vocab().values(), default=0)
+    return "<u2" if max(top, end_id) < 1 << 16 else "<u4"
+
 
+def byte_letters() -> dict[int, int]:
+    """Byte to the letter that stands for it in a byte-level vocabulary: printable bytes for
+    themselves, the others for the letters from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 0x100 + i for i, b in enumerate(others)}
 
-def encoder(path: str):
-    """texts -> list of little-endian uint32 id strings, as ``encode`` gives them for a
-    byte-level BPE whose pre-tokens begin at a space, where there is one.
 
-    Ids of a word with its space before it don't depend on the words around it, so a
-    worker encodes each word that it meets once. Texts in which a space stands between
-    two white-space characters, where that may not hold, are encoded whole.
+class Encoder:
+    """Texts to ids, as ``encode`` gives them for a byte-level BPE whose pre-tokens begin at
+    a space, where there is one.
+
+    Ids of a word with its space before it don't depend on the words around it, so a worker
+    encodes each word that it meets once, and keeps it, save very long ones. Texts in which
+    a space stands between two white-space characters, where that may not hold, are encoded
+    whole. New words of letters alone are one pre-token each, so the library's model takes
+    many at once, and a word's first id, alone, begins with a space; a sign after them is a
+    pre-token too.
     """
-    import os
-    import re
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tokenizers
+
+        self.model = tokenizers.Tokenizer.from_file(path)
+        self.bare = tokenizers.Tokenizer(self.model.model)
+        vocabulary, self.letters = self.model.get_vocab(), byte_letters()
+        self.space = chr(self.letters[0x20])
+        self.spaced = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith(self.space)]] = True
+        self.signs = dict(zip(".,;:!?", self.each(list(".,;:!?")), strict=True))
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+
+    def each(self, texts: list[str]) -> list[np.ndarray]:
+        # The fast variant leaves out the offsets of tokens, which nobody reads here.
+        return [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, m = len(self.words), int(self.ends[len(self.words) - 1]) if self.words else 0
+        self.words.update(zip(words, range(n, n + len(words)), strict=True))
+        while m + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        while len(self.words) > len(self.ends):
+            self.ends = np.append(self.ends, np.zeros_like(self.ends))
+        self.ids[m : m + len(ids)] = ids
+        self.ends[n : len(self.words)] = m + np.cumsum(sizes)
+
+    def own(self, word: str) -> np.ndarray:
+        i = self.words[word]
+        return self.ids[self.ends[i - 1] if i else 0 : self.ends[i]]
+
+    def keep(self, words: list[str]) -> None:
+        """Encodes words, each with a space before it, and keeps them."""
+        bodies, signed, rest = [], [], []
+        for w in words:
+            m = PLAIN.fullmatch(w)
+            if m is None:
+                rest.append(w)
+            elif m[2]:
+                signed.append((w, m[1], m[2]))
+            else:
+                bodies.append(w)
+        bodies = [w for w in dict.fromkeys(bodies + [b for _, b, _ in signed]) if w not in self.words]
+        for at in range(0, len(bodies), 4096):
+            some = bodies[at : at + 4096]
+            coded = [self.space + (w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)) for w in some]
+            ids = np.array(self.bare.encode_batch_fast([coded], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            first = np.flatnonzero(self.spaced[ids])
+            if len(first) == len(some):
+                self.add(some, ids, np.diff(np.append(first, len(ids))))
+            else:  # no such vocabulary
+                rest += some
+        done = [(w, np.append(self.own(b), self.signs[s])) for w, b, s in signed if b in self.words]
+        rest += [w for w, b, _ in signed if b not in self.words]
+        for at in range(0, len(rest), 4096):
+            done += zip(rest[at : at + 4096], self.each([" " + w for w in rest[at : at + 4096]]), strict=True)
+        if done:
+            self.add([w for w, _ in done], np.concatenate([x for _, x in done]), np.array([len(x) for _, x in done]))
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """A text array (null: empty) to the ids of all texts, each with ``end_id`` after it,
+        and how many each text has."""
+        if len(self.words) > KEPT_WORDS:
+            self.clear()
+        plain = [t or "" for t in texts.to_numpy(zero_copy_only=False).tolist()]
+        whole = [ODD.search(t) is not None for t in plain]
+        split = pc.split_pattern(pa.array(["" if w else t for w, t in zip(whole, plain, strict=True)], pa.large_string()), " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        known, index = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+        heads = self.each([t if w else known[index[b]] for w, t, b in zip(whole, plain, bounds, strict=False)])
+        inner = np.ones(len(index), bool)
+        inner[bounds[:-1]] = False
+        used = np.zeros(len(known), bool)
+        used[index[inner]] = True
+        place = np.full(len(known), -1, np.int64)
+        get, asked = self.words.get, np.flatnonzero(used).tolist()
+        found = [get(known[i], -1) for i in asked]
+        new = [known[i] for i, f in zip(asked, found, strict=True) if f < 0]
+        if new:
+            self.keep([w for w in new if len(w) <= KEPT_LENGTH])
+            found = [get(known[i], -1) for i in asked]
+        place[asked] = found
+        far = [i for i, f in zip(asked, found, strict=True) if f < 0]
+        # All segments (heads, words, ends) in order, as places in one array of ids.
+        extra = heads + self.each([" " + known[i] for i in far]) + [np.array([end_id], np.uint32)]
+        base = int(self.ends[len(self.words) - 1]) if self.words else 0
+        flat = np.concatenate([self.ids[:base], *extra])
+        size = np.array([len(x) for x in extra], np.int64)
+        start = base + np.cumsum(size) - size
+        n, ends = len(plain), self.ends[: len(self.words)]
+        sizes = np.concatenate([np.diff(ends, prepend=0), size])
+        starts = np.concatenate([ends - np.diff(ends, prepend=0), start])
+        place[far] = len(ends) + n + np.arange(len(far))
+        segment = np.empty(len(index) + n, np.int64)
+        last = bounds[1:] + np.arange(n)
+        body = np.ones(len(segment), bool)
+        body[last] = False
+        segment[body] = place[index]
+        segment[bounds[:-1] + np.arange(n)] = len(ends) + np.arange(n)
+        segment[last] = len(sizes) - 1
+        many = sizes[segment]
+        upto = np.cumsum(many)
+        ids = flat[np.repeat(starts[segment] - upto + many, many) + np.arange(upto[-1])]
+        return ids, np.diff(upto[last], prepend=0)
+
+
+def encoder(path: str) -> Encoder:
+    """This worker's encoder: kept on the library, so that the words stay for its next tasks."""
     import tokenizers
 
-    # On the library, so that the words stay for the worker's next tasks.
-    kept = vars(tokenizers).setdefault("_wxspark_words", {})
+    kept = vars(tokenizers).setdefault("_wxspark_encoders", {})
     if path not in kept:
-        kept[path] = (tokenizers.Tokenizer.from_file(path), {})
-    model, words = kept[path]
-    odd = re.compile(r"\s \s")
+        kept[path] = Encoder(path)
+    return kept[path]
 
-    def ids(texts: list[str]) -> list[bytes]:
-        # The fast variant leaves out the offsets of tokens, which nobody reads here.
-        return [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(texts: list[str]) -> list[bytes]:
-        if len(words) > KEPT_WORDS:
-            words.clear()
-        split = [[t, None] if odd.search(t) else t.split(" ") for t in texts]
-        whole = [s[0] for s in split if s[-1] is None]
-        heads = [s[0] for s in split if s[-1] is not None]
-        new = {w for s in split if s[-1] is not None for w in s[1:] if w not in words}
-        new = list(new)
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            words.update(zip(some, ids([" " + w for w in some]), strict=True))
-        whole, heads = iter(ids(whole) if whole else ()), iter(ids(heads) if heads else ())
-        return [next(whole) if s[-1] is None else next(heads) + b"".join([words[w] for w in s[1:]]) for s in split]
+def slices(batch: pa.RecordBatch):
+    """Parts of a batch (doc_id, text) of some BYTES of text each, and at least a row."""
+    text = batch.column(1)
+    upto = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(batch):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BYTES, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def binary_rows(ids: np.ndarray, sizes: np.ndarray, kind: str) -> pa.Array:
+    """Ids one after another to a binary array, ``sizes`` ids a row."""
+    raw = ids.astype(kind)
+    offsets = np.concatenate(([0], np.cumsum(sizes) * raw.itemsize)).astype("<i8")
+    rows = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())])
+    return rows.cast(pa.binary())
+
 
-    return encode
+def widened(ids: bytes | None, kind: str) -> bytes:
+    """Ids of type ``kind`` as little-endian unsigned 32-bit integers."""
+    return np.frombuffer(ids or b"", kind).astype("<u4").tobytes()
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, text, ...) to (doc_id, ids): little-endian unsigned 32-bit ids of the whole
-    text (null: empty) and then ``end_id``. ``tokenizer`` is a file that executors can read."""
+def tokenized(docs: DataFrame, tokenizer: str, end_id: int, kind: str = "<u4") -> DataFrame:
+    """(doc_id, text, ...) to (doc_id, ids): ids of the whole text (null: empty) and then
+    ``end_id``, of type ``kind``. ``tokenizer`` is a file that executors can read."""
 
     def run(batches):
-        encode, end = encoder(tokenizer), np.asarray([end_id], "<u4").tobytes()
+        model = encoder(tokenizer)
         for b in batches:
-            for at in range(0, len(b), TEXTS):
-                part = b.slice(at, TEXTS)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x + end for x in encode(texts)], pa.binary())], ["doc_id", "ids"])
+            for part in slices(b):
+                rows = binary_rows(*model.encode(part.column(1), end_id), kind)
+                yield pa.RecordBatch.from_arrays([part.column(0), rows], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids binary")
