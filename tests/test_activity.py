@@ -27,6 +27,18 @@ def test_hourly_activity_zero_fills_gaps(spark):
     assert sum(r.Searches for r in got) == one.count()
 
 
+def test_hourly_activity_over_a_million_hours(spark):
+    """The spine of a long range is no single row or task, and the counts' exchange is reused."""
+    t1, t2 = datetime(1910, 1, 1, 5, 30), datetime(2024, 3, 1, 7)
+    rows = [(1, "Pune", "Rain", 20.0, t1, t1, "a"), (2, "Pune", "Rain", 21.0, t2, t2, "b"), (3, "Pune", "Rain", 21.0, t2, t2, "c")]
+    got = activity.hourly_activity(frame(spark, rows))
+    hours = int((t2.replace(minute=0) - t1.replace(minute=0)).total_seconds() // 3600) + 1
+    assert hours > 10**6 and got.count() == hours
+    assert got.agg(F.sum("Searches")).first()[0] == 3 and [r.Searches for r in got.tail(2)] == [0, 2]
+    assert got.rdd.getNumPartitions() > 1
+    assert activity.hourly_activity(frame(spark, [])).count() == 0
+
+
 def test_common_condition_tie_goes_to_alphabetical_first(spark):
     t = datetime(2024, 1, 1)
     rows = [(i, "Pune", c, 20.0, t, t, str(i)) for i, c in enumerate(["Rain", "Clear", "Rain", "Clear", "Haze"])]

@@ -61,12 +61,9 @@ def top_cities(df: DataFrame, k: int = TOP_CITIES) -> DataFrame:
 def hourly_activity(df: DataFrame, time_col: str = "inserted_at") -> DataFrame:
     """Readings per hour with zero-filled gaps between the first and last hour.
 
-    One pass: per-hour counts (partial + final aggregate), then one global aggregate
-    gathers the (hour, count) pairs into a map. That row holds one entry per hour that
-    has readings, bounded by the hours in the range (the same bound as the hour spine),
-    never by the row count. The spine ``sequence(first, last)`` is exploded and each
-    hour looks its count up in the map (0 when absent), so there is no join and no
-    second read of the input.
+    The spine is dealt out: one row per day of the range, each exploded into its hours by
+    the task that holds it, then joined to the hourly counts. First and last hour come from
+    these counts too, whose exchange is made once, so the input is read once.
     """
     hour = X.trunc_hour_ntz(time_col)
     counts = (
@@ -74,16 +71,12 @@ def hourly_activity(df: DataFrame, time_col: str = "inserted_at") -> DataFrame:
         .groupBy(hour.alias("Hour"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    hours = counts.agg(F.map_from_entries(F.collect_list(F.struct("Hour", "_n"))).alias("_m"))
-    spine = hours.select(
-        "_m",
-        F.explode(
-            F.sequence(F.array_min(F.map_keys("_m")), F.array_max(F.map_keys("_m")), F.expr("INTERVAL 1 HOUR"))
-        ).alias("Hour"),
-    )
-    return spine.select(
-        "Hour", F.coalesce(F.try_element_at("_m", F.col("Hour")), F.lit(0)).cast("bigint").alias("Searches")
-    ).orderBy("Hour")
+    ends = counts.agg(F.min("Hour").alias("_first"), F.max("Hour").alias("_last"))
+    day = lambda c: F.date_trunc("day", c).cast("timestamp_ntz")
+    days = ends.select("*", F.explode(F.sequence(day("_first"), day("_last"), F.expr("INTERVAL 1 DAY"))).alias("_day")).repartition("_day")
+    hours = F.explode(F.sequence(F.col("_day"), F.col("_day") + F.expr("INTERVAL 23 HOURS"), F.expr("INTERVAL 1 HOUR")))
+    spine = days.select("_first", "_last", hours.alias("Hour")).filter("Hour between _first and _last").select("Hour")
+    return spine.join(counts, "Hour", "left").select("Hour", F.coalesce("_n", F.lit(0)).cast("bigint").alias("Searches")).orderBy("Hour")
 
 
 def hourly_window_counts(df: DataFrame, time_col: str = "inserted_at") -> DataFrame:
