@@ -43,8 +43,8 @@ LEAST_COUNT, BATCH, RATE, DECAY, WORD_DROP = 5, 128, 0.01, 1e-3, 0.3
 #: second round on, and that of the harmless windows that are drawn again.
 ROUNDS, ABOVE, HARD = (240, 120), 0.99, 0.9
 #: How many times as frequent a leaning word is in toxic documents, how many of them hold
-#: it, at least, for its number of documents and for its occurrences to count, and the share
-#: of its documents that a more special word must hold to be taken in its place.
+#: it, at least, for its number of documents and for its words to count, and the share of
+#: its words that a more special one must cover to be taken in its place.
 RATIO, LEAST_DOCS, LEAST_TOXIC, SPECIAL = 6, 3, 2, 0.75
 #: Quantiles of the harmless and of the seeded documents between which the level lies.
 LEVELS = (0.99, 0.25)
@@ -213,8 +213,8 @@ def leaning(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
 
     A candidate is judged by how many toxic and harmless documents hold it, and by how many
     words of theirs it covers; chance may reach the level once in as many candidates as there
-    are. Of the best and the longer ones under it, the longest that holds most of its toxic
-    documents is taken, so that a word is not taken for all that begins like it. Then its
+    are. Of the best and the longer ones under it, the longest that covers most of its words
+    there is taken, so that a word is not taken for all that begins like it. Then its
     words are taken out of all documents, and the rest is judged again, until nothing leans.
     """
     holds = {True: defaultdict(Counter), False: defaultdict(Counter)}  # candidate: document: words
@@ -247,7 +247,7 @@ def leaning(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
         if leans[best] < 1:
             break
         stem = names[best].rstrip("*")
-        special = [f for f in names if f.startswith(stem) and a[at[f]] >= SPECIAL * a[best]]
+        special = [f for f in names if f.startswith(stem) and words1[at[f]] >= SPECIAL * words1[best]]
         own = max(special, key=lambda f: (len(f.rstrip("*")), not f.endswith("*"), f))
         taken.add(own)
         gone = [w for w in where[True].keys() | where[False].keys() if w == own or (own.endswith("*") and w.startswith(own[:-1]))]
