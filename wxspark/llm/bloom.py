@@ -166,7 +166,7 @@ def differences(pairs: DataFrame) -> DataFrame:
 
 
 def in_ranges(docs: DataFrame) -> tuple[DataFrame, Window]:
-    """``docs`` (doc_id, text, ...) in ranges of doc_id, with __wx_h (guest, r), and the order
+    """``docs`` (doc_id, text, ...) in ranges of doc_id, with __wx_r and __wx_guest, and the order
     of rows in a range: descending doc_id, null last; rows of one id by text.
 
     Bounds are doc_ids of the table, so the largest id of a range is known and its rows are
@@ -191,8 +191,9 @@ def in_ranges(docs: DataFrame) -> tuple[DataFrame, Window]:
         guest = F.lit(0)  # only null ids, if any row: one range, which follows itself
     here, there = F.struct(F.lit(False).alias("guest"), F.col("__wx_r").alias("r")), F.struct(F.lit(True).alias("guest"), guest.alias("r"))
     both = F.when(guest.isNull(), F.array(here)).otherwise(F.array(here, there))
-    d = d.withColumn("__wx_h", F.explode(both)).drop("__wx_r")
-    return d, Window.partitionBy("__wx_h.r").orderBy("__wx_h.guest", F.col("doc_id").desc_nulls_last(), "text")
+    d = d.withColumn("__wx_h", F.explode(both)).withColumns({"__wx_r": F.col("__wx_h.r"), "__wx_guest": F.col("__wx_h.guest")}).drop("__wx_h")
+    # Plain columns, so that windows after each other share one exchange and one sort.
+    return d, Window.partitionBy("__wx_r").orderBy("__wx_guest", F.col("doc_id").desc_nulls_last(), "text")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -200,7 +201,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     of doc_id (null ids last; rows of one id by text); the last row's next is the first."""
     d, order = in_ranges(without(docs, "next_text"))
     d = d.withColumn("next_text", F.lead(F.coalesce("text", F.lit(""))).over(order))
-    return d.filter(~F.col("__wx_h.guest")).drop("__wx_h")
+    return d.filter(~F.col("__wx_guest")).drop("__wx_r", "__wx_guest")
 
 
 def fingerprint_versions(docs: DataFrame) -> DataFrame:
@@ -210,11 +211,13 @@ def fingerprint_versions(docs: DataFrame) -> DataFrame:
     digests peeling found and the groups that failed. Every text is sketched once; the next
     row hands its digests and its sketch over."""
     d, order = in_ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    # The range's rows are together before they are sketched, and stay there.
+    d = d.repartition("__wx_r")
     d = d.withColumn("own", piece_digests("text")).withColumn("own", as_set("own"))
     d = d.withColumn("own_cells", F.expr(sketch(entries("own"))))
-    for name in ("text", "own", "own_cells"):
-        d = d.withColumn(f"next_{name}".replace("own_", "").replace("own", "digests"), F.lead(name).over(order))
-    d = d.filter(~F.col("__wx_h.guest")).drop("__wx_h").withColumn("n_chars", F.length("text").cast("bigint"))
+    after = {"next_text": "text", "next_digests": "own", "next_cells": "own_cells"}
+    d = d.withColumns({name: F.lead(of).over(order) for name, of in after.items()})
+    d = d.filter(~F.col("__wx_guest")).withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
     d = d.withColumn("edited", edited).withColumn("edit", piece_digests("edited")).withColumn("edit", as_set("edit"))

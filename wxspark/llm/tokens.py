@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 #: Words whose ids a worker keeps, at most, and the longest kept; beyond the first it starts
 #: anew. Bytes of text that are looked up together, if there is more than one text.
 KEPT_WORDS, KEPT_LENGTH, BYTES = 1_000_000, 64, 1 << 23
-#: Texts where a word's ids may depend on its neighbours; letters that are one pre-token,
-#: and a sign after them that is one too.
-ODD, PLAIN = re.compile(r"\s \s"), re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+#: Texts where a word's ids may depend on its neighbours; words of pre-tokens that are known
+#: apart: letters, a sign, and the same after a line feed.
+SIGNS, LETTERS = ".,;:!?", "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+ODD, PLAIN = re.compile(r"\s \s"), re.compile(f"({LETTERS})([{SIGNS}]?)(?:(\n)({LETTERS})([{SIGNS}]?))?")
 
 
 def id_type(tokenizer: str, end_id: int = 0) -> str:
@@ -42,8 +43,8 @@ class Encoder:
     encodes each word that it meets once, and keeps it, save very long ones. Texts in which
     a space stands between two white-space characters, where that may not hold, are encoded
     whole. New words of letters alone are one pre-token each, so the library's model takes
-    many at once, and a word's first id, alone, begins with a space; a sign after them is a
-    pre-token too.
+    many at once, and a word's first id, alone, begins with a space. A sign after them, a line
+    feed, and letters after it are pre-tokens too: such words are put together from these.
     """
 
     def __init__(self, path: str):
@@ -56,12 +57,16 @@ class Encoder:
         self.space = chr(self.letters[0x20])
         self.spaced = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith(self.space)]] = True
-        self.signs = dict(zip(".,;:!?", self.each(list(".,;:!?")), strict=True))
+        self.feed = chr(self.letters[0x0A])
+        self.feed_id = vocabulary.get(self.feed, -1)
+        self.signs = self.each(list(SIGNS))
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}
+        """Nothing kept but the signs. Keys of parts of words are pairs: (before, part)."""
+        self.words: dict = {}
         self.ids, self.ends = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+        self.add([("", x) for x in SIGNS], np.concatenate(self.signs), np.array([len(x) for x in self.signs]))
 
     def each(self, texts: list[str]) -> list[np.ndarray]:
         # The fast variant leaves out the offsets of tokens, which nobody reads here.
@@ -77,37 +82,58 @@ class Encoder:
         self.ids[m : m + len(ids)] = ids
         self.ends[n : len(self.words)] = m + np.cumsum(sizes)
 
-    def own(self, word: str) -> np.ndarray:
-        i = self.words[word]
-        return self.ids[self.ends[i - 1] if i else 0 : self.ends[i]]
+    def letters_of(self, word: str) -> str:
+        return word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+
+    def parts(self, keys: list, coded: list[str], first) -> None:
+        """Adds pre-tokens that the bare model takes together; ``first`` finds their first ids.
+        A vocabulary in which it does not is no such one: the keys stay unknown."""
+        ids = np.array(self.bare.encode_batch_fast([coded], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        at = np.flatnonzero(first(ids))
+        if len(at) == len(keys):
+            self.add(keys, ids, np.diff(np.append(at, len(ids))))
 
     def keep(self, words: list[str]) -> None:
         """Encodes words, each with a space before it, and keeps them."""
-        bodies, signed, rest = [], [], []
+        bodies, lines, joined, rest = {}, {}, [], []
         for w in words:
             m = PLAIN.fullmatch(w)
             if m is None:
                 rest.append(w)
-            elif m[2]:
-                signed.append((w, m[1], m[2]))
-            else:
-                bodies.append(w)
-        bodies = [w for w in dict.fromkeys(bodies + [b for _, b, _ in signed]) if w not in self.words]
-        for at in range(0, len(bodies), 4096):
-            some = bodies[at : at + 4096]
-            coded = [self.space + (w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)) for w in some]
-            ids = np.array(self.bare.encode_batch_fast([coded], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
-            first = np.flatnonzero(self.spaced[ids])
-            if len(first) == len(some):
-                self.add(some, ids, np.diff(np.append(first, len(ids))))
-            else:  # no such vocabulary
-                rest += some
-        done = [(w, np.append(self.own(b), self.signs[s])) for w, b, s in signed if b in self.words]
-        rest += [w for w, b, _ in signed if b not in self.words]
+                continue
+            body, sign, feed, line, end = m.groups()
+            bodies[body] = None
+            if sign or feed:
+                keys = [body, ("", sign)] if sign else [body]
+                if feed:
+                    lines[line] = None
+                    keys += [("\n", line), ("", end)] if end else [("\n", line)]
+                joined.append((w, keys))
+        new = [w for w in bodies if w not in self.words]
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            self.parts(some, [self.space + self.letters_of(w) for w in some], lambda ids: self.spaced[ids])
+        new = [w for w in lines if ("\n", w) not in self.words]
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            coded = [x for w in some for x in (self.feed, self.letters_of(w))]
+            self.parts([("\n", w) for w in some], coded, lambda ids: ids == self.feed_id)
+        rest += [w for w in bodies if w not in self.words]
+        whole = [(w, keys) for w, keys in joined if all(k in self.words for k in keys)]
+        if len(whole) < len(joined):
+            known = {w for w, _ in whole}
+            rest += [w for w, _ in joined if w not in known]
+        if whole:
+            many = np.array([len(keys) for _, keys in whole])
+            own = np.array([self.words[k] for _, keys in whole for k in keys])
+            starts = np.where(own > 0, self.ends[own - 1], 0)
+            sizes = self.ends[own] - starts
+            upto = np.cumsum(sizes)
+            ids = self.ids[np.repeat(starts - upto + sizes, sizes) + np.arange(upto[-1])]
+            self.add([w for w, _ in whole], ids, np.add.reduceat(sizes, np.cumsum(many) - many))
         for at in range(0, len(rest), 4096):
-            done += zip(rest[at : at + 4096], self.each([" " + w for w in rest[at : at + 4096]]), strict=True)
-        if done:
-            self.add([w for w, _ in done], np.concatenate([x for _, x in done]), np.array([len(x) for _, x in done]))
+            some = self.each([" " + w for w in rest[at : at + 4096]])
+            self.add(rest[at : at + 4096], np.concatenate(some), np.array([len(x) for x in some]))
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """A text array (null: empty) to the ids of all texts, each with ``end_id`` after it,
@@ -131,7 +157,7 @@ class Encoder:
         new = [known[i] for i, f in zip(asked, found, strict=True) if f < 0]
         if new:
             self.keep([w for w in new if len(w) <= KEPT_LENGTH])
-            found = [get(known[i], -1) for i in asked]
+            found = [f if f >= 0 else get(known[i], -1) for i, f in zip(asked, found, strict=True)]
         place[asked] = found
         far = [i for i, f in zip(asked, found, strict=True) if f < 0]
         # All segments (heads, words, ends) in order, as places in one array of ids.
