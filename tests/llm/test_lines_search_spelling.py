@@ -214,8 +214,9 @@ def test_spelling_matches_brute_force(spark, docs, rows):
     g = random.Random(4)
     long = "".join(g.choice("abcdé") for _ in range(70))
     more = [long, long[:20] + long[21:], long[:-1] + "q", "x" + long, long[:48], long[:49], long[:47], "a" * 90, "a" * 91, "q" * 5000, "q" * 5001, "q" * 2500 + "r" + "q" * 2499]
-    stem = [["aaaaa", "aaaab"], ["aaaaaa", "abaaa"], ["aabaa"], ["bbbbb", "baaaa", "ééééé", "éééé", "éééée"], ["ccccc"], [], ["zzzzz", "ccccd"], [], ["cccdd"]]
+    stem = [["aaaaa", "aaaab"], ["aaaaaa", "abaaa"], ["aabaa"], ["bbbbb", "baaaa", "ééééé", "éééé", "éééée"]]
     texts = [(1000 + i, " ".join([w] * (3 + 5 * i))) for i, ws in enumerate(stem) for w in ws] + [(2000 + i, f"{w} {w}, {w.upper()};{w}") for i, w in enumerate(more)]
+    texts += [(3000, "ccccc " * 3), (3001, "ccccd " * 9), (3002, "cccdd " * 30)]
     every = rows + texts
     want = spelling_by_hand(every)
     assert found_by_spark(spark.createDataFrame(every, SCHEMA).repartition(3)) == want
