@@ -406,7 +406,7 @@ def test_stages_keep_what_they_should(spark):
     g = random.Random(12)
     text = lambda: " ".join(f"w{g.randrange(900)}" for _ in range(80))
     one, two, three, four = (text() for _ in range(4))
-    near = one + " w1"
+    near = next(t for t in (f"{one} w{i}" for i in range(10**4)) if (brute_simhash(one) ^ brute_simhash(t)).bit_count() <= 3)
     rows = [(5, one, "en", "a"), (5, two, "en", "b"), (5, three, None, "c"), (7, one, "fr", "a"), (3, two, "en", "a"), (None, four, "en", None), (None, four, "en", None), (8, three, "en", "a"), (8, three, "en", "a")]
     assert (brute_simhash(one) ^ brute_simhash(near)).bit_count() <= 3
     rows.append((4, near, "en", "z"))
