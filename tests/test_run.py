@@ -37,7 +37,8 @@ def test_run_batch_end_to_end_and_rerun_is_idempotent(spark, tmp_dir):
     csv_cities = [line.split(",")[0].strip('"') for line in open(os.path.join(csv_dir, part[0])).read().splitlines()[1:]]
     expected = [r.city for r in reports.city_temperature_summary(L.read_table(spark, table)).collect()]
     assert csv_cities == expected
-    summary = json.loads(open([os.path.join(f"{out}/validation_summary", p) for p in os.listdir(f"{out}/validation_summary") if p.endswith(".json")][0]).readline())
+    summary_dir = f"{out}/validation_summary/run_id=20240201_000000"
+    summary = json.loads(open([os.path.join(summary_dir, p) for p in os.listdir(summary_dir) if p.endswith(".json")][0]).readline())
     assert summary["original_record_count"] == 1000
     issues = spark.read.json(f"{out}/validation_issues")
     assert issues.count() == summary["total_issues"]

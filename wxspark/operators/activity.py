@@ -32,9 +32,14 @@ RECENT_LIMIT = 20
 TOP_CITIES = 5
 
 
+def newest_first() -> list[Column]:
+    """Newest reading first; a total order, as the id breaks ties."""
+    return [F.desc_nulls_last("recorded_at"), F.desc_nulls_last("inserted_at"), F.col("obs_id")]
+
+
 def fetch_all(df: DataFrame) -> DataFrame:
     """Whole table, newest reading first (total order: id breaks ties)."""
-    return df.orderBy(F.desc_nulls_last("recorded_at"), F.desc_nulls_last("inserted_at"), "obs_id")
+    return df.orderBy(*newest_first())
 
 
 def recent_searches(df: DataFrame, limit: int = RECENT_LIMIT) -> DataFrame:

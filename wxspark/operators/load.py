@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from wxspark.operators import quality, transform
 
 KEY = ("city", "recorded_at")
-#: Files that one load writes for a date, at most; a hot date is split into so many.
-FILES_PER_DATE = 8
+#: Rows of a batch that share a file of their date, about; a date with more is dealt out to
+#: more files, one with fewer has one.
+ROWS_PER_FILE = 4_000_000
 
 
 def classify(batch: DataFrame, existing: DataFrame | None, keys=KEY, order_col: str = "obs_id") -> DataFrame:
@@ -112,7 +113,8 @@ def conform(batch: DataFrame, existing: DataFrame, extra: tuple[str, ...] = ())
     return batch.select(*filled, *[c for c in extra if c not in existing.columns])
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, None where there is none or it has no row yet."""
     if not table_exists(spark, path):
         return None
     try:
@@ -123,7 +125,20 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def load(spark: SparkSession, df: DataFrame, path: str, run_ts=None, keys=KEY, order_col: str = "obs_id") -> dict:
+def deal_by_date(rows: DataFrame, batch: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """``rows`` dealt out for a write by date: each date to as many parts as the rows that
+    ``batch`` has for it ask for. The counts are one row a date."""
+    per_date = batch.groupBy(F.col("date").alias("_date")).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("bigint").alias("_parts")
+    )
+    sized = rows.join(per_date, F.col("date").eqNullSafe(F.col("_date")), "left").drop("_date")
+    part = F.pmod(F.xxhash64("id", *[k for k in ("obs_id",) if k in rows.columns]), F.greatest(F.coalesce("_parts", F.lit(1)), F.lit(1)))
+    return sized.withColumn("_part", part).repartition("date", "_part").drop("_parts", "_part")
+
+
+def load(
+    spark: SparkSession, df: DataFrame, path: str, run_ts=None, keys=KEY, order_col: str = "obs_id", rows_per_file: int = ROWS_PER_FILE
+) -> dict:
     """Append the new rows of ``df`` (observation layout) to the table at ``path``.
 
     ``inserted_at`` is ``run_ts`` unless the frame already carries one. Returns exact
@@ -133,16 +148,15 @@ def load(spark: SparkSession, df: DataFrame, path: str, run_ts=None, keys=KEY, o
     if "inserted_at" not in batch.columns:
         batch = batch.withColumn("inserted_at", F.lit(run_ts).cast("timestamp_ntz"))
     batch = transform.to_stored(batch, keep=tuple(dict.fromkeys((*transform.CARRIED_COLUMNS, order_col))))
-    existing = _existing(spark, path)
+    existing = existing_table(spark, path)
     if existing is not None:
         batch = conform(batch, existing, extra=(order_col,))
     classified = classify(batch, existing, keys, order_col)
     obs = Observation("load_stats")
     s = F.col("_load_status")
     spare = [c for c in (order_col,) if c not in transform.CARRIED_COLUMNS]
-    # Dealt by date, and a date by id: at most FILES_PER_DATE files of a load for a date.
     # Before the rows are counted: a shuffle that turns out empty would take the counts away.
-    dealt = classified.repartition("date", F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DATE)))
+    dealt = deal_by_date(classified, batch, rows_per_file)
     observed = dealt.observe(
         obs,
         F.count_if(s == "inserted").alias("inserted"),

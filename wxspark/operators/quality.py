@@ -6,7 +6,9 @@ several rules), keeps rows without a critical flag, and summarises the issues:
 * ``flagged``     input + one boolean column per rule + ``critical`` + ``issue_list``
 * ``clean``       rows without a critical flag
 * ``quarantine``  rows with a critical flag, with the list of rules they broke
-* ``issues``      one row per rule that fired (count, id span, offending value span)
+* ``warnings``    rows kept in spite of a warning, with the list of rules they broke
+* ``issues``      one row per rule that fired (count, id span, offending value span, and the
+  ids and values of its ``SAMPLE_ROWS`` first rows by id)
 * ``summary``     one row: counts, pass rate, issue entry counts, status
 * ``null_counts`` NULL count per column of the clean rows (only > 0)
 
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wxspark.functions import expr as X
@@ -40,6 +42,10 @@ PRESSURE_RANGE = (870, 1085)
 DUPLICATE_KEY = ("city", "recorded_at")
 MIN_CITY_LENGTH = 2
 
+#: Offending rows that the issue list shows for a rule; all of them are in the quarantine,
+#: the warnings and the detail queries.
+SAMPLE_ROWS = 5
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -191,8 +197,19 @@ class Validation:
     def quarantine(self) -> DataFrame:
         return self.flagged.where(F.col("critical")).select(*self.columns, "issue_list")
 
-    def issues(self) -> DataFrame:
-        return issues_frame(self.flagged, self.rules, self.id_col)
+    @property
+    def warnings(self) -> DataFrame:
+        warned = F.lit(False)
+        for r in self.rules:
+            if r.severity == WARNING:
+                warned = warned | F.col(f"f_{r.rule_id}")
+        return self.flagged.where(~F.col("critical") & warned).select(*self.columns, "issue_list")
+
+    def issues(self, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+        return issues_frame(self.flagged, self.rules, self.id_col, sample_rows)
+
+    def samples(self, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+        return issue_samples(self.flagged, self.rules, self.id_col, sample_rows)
 
     def summary(self) -> DataFrame:
         return summary_frame(self.flagged, self.rules, self.id_col)
@@ -254,8 +271,51 @@ def rule_stats(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id")
     return flagged.agg(*aggs)
 
 
-def issues_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id") -> DataFrame:
-    return issues_from_stats(rule_stats(flagged, rules, order_col), rules)
+def merge_stats(parts: DataFrame) -> DataFrame:
+    """The :func:`rule_stats` rows of several disjoint batches as the row of all of them."""
+    def merged(name: str) -> Column:
+        if name.endswith(("__first", "__vmin")):
+            return F.min(name)
+        if name.endswith(("__last", "__vmax")):
+            return F.max(name)
+        return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
+
+    return parts.agg(*[merged(c).alias(c) for c in parts.columns])
+
+
+def issue_samples(flagged: DataFrame, rules: list[Rule], id_col: str = "obs_id", k: int = SAMPLE_ROWS) -> DataFrame:
+    """(rule_order, row_id, value) of the ``k`` smallest ids that each rule flags."""
+    def value(r: Rule) -> Column:
+        v = r.value_expr()
+        return F.lit(None).cast("double") if v is None else (F.expr(v) if isinstance(v, str) else v).cast("double")
+
+    hits = [
+        F.when(F.col(f"f_{r.rule_id}"), F.struct(F.lit(pos).alias("rule_order"), value(r).alias("value")))
+        for pos, r in enumerate(rules)
+    ]
+    rows = flagged.select(F.col(id_col).alias("row_id"), F.explode(F.array_compact(F.array(*hits))).alias("h"))
+    return smallest_rows(rows.select("h.rule_order", "row_id", "h.value"), k)
+
+
+def smallest_rows(samples: DataFrame, k: int = SAMPLE_ROWS) -> DataFrame:
+    """The ``k`` smallest ids a rule. The limit on the rank is also applied before the
+    shuffle, by each task, so a rule that flags every row sends ``k`` rows a task. Applied to
+    the samples of several batches it gives the sample of all of them."""
+    first = F.row_number().over(Window.partitionBy("rule_order").orderBy("row_id", "value"))
+    return samples.withColumn("_rank", first).where(F.col("_rank") <= k).drop("_rank")
+
+
+def with_samples(issues: DataFrame, samples: DataFrame) -> DataFrame:
+    """Issue rows + ``sample_ids`` and ``sample_values``: at most ``k`` of each, by id."""
+    lists = samples.groupBy("rule_order").agg(F.sort_array(F.collect_list(F.struct("row_id", "value"))).alias("s"))
+    return issues.join(lists, "rule_order", "left").select(
+        *issues.columns, F.col("s.row_id").alias("sample_ids"), F.col("s.value").alias("sample_values")
+    )
+
+
+def issues_frame(flagged: DataFrame, rules: list[Rule], order_col: str = "obs_id", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    issues = issues_from_stats(rule_stats(flagged, rules, order_col), rules)
+    return with_samples(issues, issue_samples(flagged, rules, order_col, sample_rows))
 
 
 def issues_from_stats(stats: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -120,9 +120,28 @@ SELECT * FROM (
 """
 
 
-@query("dq_issues", ISSUE_ROWS)
+def _sample_sql(flag: str, value: str) -> str:
+    """DuckDB's ids and values of the first rows of a rule, comma-joined; ``value`` '' has none."""
+    rows = f"(SELECT obs_id, {value or 'NULL'} AS v FROM flagged WHERE f_{flag} ORDER BY obs_id LIMIT {quality.SAMPLE_ROWS})"
+    values = f"(SELECT string_agg(CAST(v::DOUBLE AS VARCHAR), ',' ORDER BY obs_id) FROM {rows})" if value else "''"
+    return f"(SELECT string_agg(CAST(obs_id AS VARCHAR), ',' ORDER BY obs_id) FROM {rows}) AS sample_ids, {values} AS sample_values"
+
+
+ISSUE_SAMPLES = "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT {pos} AS rule_order, {_sample_sql(flag, value)}"
+    for pos, (flag, value) in enumerate(
+        [(f"null_{c}", "") for c in ("city", "temperature_c", "humidity_pct", "pressure_hpa", "weather_condition", "recorded_at")]
+        + [(f"range_{c}", c) for c in ("temperature_c", "humidity_pct", "pressure_hpa")]
+        + [("duplicate", ""), ("short_city", "")]
+    )
+) + ") s"
+
+
+@query("dq_issues", f"SELECT i.*, s.sample_ids, coalesce(s.sample_values, '') AS sample_values FROM ({ISSUE_ROWS}) i JOIN ({ISSUE_SAMPLES}) s USING (rule_order)")
 def q_dq_issues(spark, sf):
-    return V.validation(spark, sf).issues()
+    """Every rule that fired; the lists of sampled ids and values as comma-joined text."""
+    text = lambda c: F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), ",")
+    return V.validation(spark, sf).issues().withColumns({c: text(c) for c in ("sample_ids", "sample_values")})
 
 
 @query(

@@ -42,20 +42,45 @@ CORRUPT = "_corrupt_record"
 
 
 def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Read landing files with the fixed schema; lineage columns ``source_file``, ``raw_pos``."""
+    """Read landing files with the fixed schema and the columns of :func:`with_lineage`, and
+    ``raw_pos``, whose order within a block is that of its lines."""
     reader = (
         spark.read.schema(RAW)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multiline)
     )
-    df = reader.json(path)
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("source_file"),
-        # Position within the read: partition index in the high bits, row in the low bits;
-        # stable for a given file set, used only to order readings of the same run.
-        F.monotonically_increasing_id().alias("raw_pos"),
+    return with_lineage(reader.json(path)).withColumn("raw_pos", F.monotonically_increasing_id())
+
+
+def stream_raw(spark: SparkSession, path: str, multiline: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The landing folder as a stream of files, in the columns of :func:`with_lineage`."""
+    reader = (
+        spark.readStream.schema(RAW)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", multiline)
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return with_lineage(reader.json(path))
+
+
+def with_lineage(files: DataFrame) -> DataFrame:
+    """Add where a document came from: ``source_file`` and ``block_start``, the offset of the
+    block it was read in. A document without an extraction time is stamped with the time its
+    file landed, so that it has a place in the order of ingest.
+
+    (``source_file``, ``block_start``, ``raw_pos``) is the order of lines in a file however
+    the blocks are packed into tasks; ``raw_pos`` alone is not.
+    """
+    landed = F.date_format("_metadata.file_modification_time", "yyyy-MM-dd'T'HH:mm:ss")
+    return files.withColumns(
+        {
+            "_extracted_at": F.coalesce("_extracted_at", landed),
+            "source_file": F.col("_metadata.file_path"),
+            "block_start": F.col("_metadata.file_block_start"),
+        }
     )
 
 

@@ -28,6 +28,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def export_table(df: DataFrame, path: str, order: list) -> None:
+    """Whole table as CSV files that follow each other in ``order`` (a total order): the sort
+    deals ranges to tasks, each writes its own, none holds the table. ``path/rows`` has the
+    rows without headers, ``path/header`` the one line of column names, so
+    ``cat header/part-* rows/part-*`` is the table as one CSV."""
+    df.orderBy(*order).write.mode("overwrite").option("header", False).csv(os.path.join(path, "rows"))
+    names = df.sparkSession.createDataFrame([(",".join(df.columns),)], "value string")
+    names.coalesce(1).write.mode("overwrite").text(os.path.join(path, "header"))
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
@@ -64,4 +74,4 @@ def run_stamp_literal(ts) -> str:
     return ts.strftime("%Y%m%d_%H%M%S")
 
 
-__all__ = ["write_landing", "write_csv", "write_json", "export_reports", "run_stamp_literal"]
+__all__ = ["write_landing", "write_csv", "export_table", "write_json", "export_reports", "run_stamp_literal"]

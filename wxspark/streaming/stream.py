@@ -5,15 +5,17 @@
 * T3 ``start_keyed_load``       exact keyed load per micro-batch (``foreachBatch`` +
                                  insert-if-absent, so a replayed batch inserts nothing twice)
 * T4 ``hourly_counts``          tumbling 1-hour counts, append mode, watermark-bounded
-* T5 ``latest_per_city``        per-city latest reading as aggregate state, update mode
+* T5 ``latest_per_city``        per-city latest row as aggregate state, update mode
+     ``start_latest_table``     the same as a table on disk, merged batch by batch
 
-State is always bounded: T2/T4 by the watermark, T5 by the number of cities; T3 keeps no
-state (the table is the state). Checkpoints go under the cluster's shared
+State is always bounded: T2/T4 by the watermark, T5 by the number of cities; T3 and the
+latest table keep no state (the table is the state). Checkpoints go under the cluster's shared
 ``spark.checkpoint.dir`` unless the caller names a location.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
@@ -21,9 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wxspark.operators import activity, quality, transform
 from wxspark.operators import load as load_op
-from wxspark.operators import quality, transform
-from wxspark.session import checkpoint_dir
+from wxspark.session import checkpoint_dir, scratch_path
 from wxspark.sources import raw_json
 
 KEY = ("city", "recorded_at")
@@ -34,33 +36,19 @@ def landing_stream(spark: SparkSession, path: str, multiline: bool = False, max_
 
     Rejected documents are dropped here; use :func:`landing_rejects` for that stream.
     """
-    reader = (
-        spark.readStream.schema(raw_json.RAW)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", raw_json.CORRUPT)
-        .option("multiLine", multiline)
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(path).select("*", F.col("_metadata.file_path").alias("source_file"))
+    raw = raw_json.stream_raw(spark, path, multiline, max_files_per_trigger)
     good = raw.where(raw_json.reject_reason().isNull())
     obs = raw_json.flatten(good, keep=("source_file", "_extracted_at"))
     return transform.add_derived(obs).select(
         "*",
         F.xxhash64("source_file", "_extracted_at", "city", "recorded_at").alias("obs_id"),
-        F.col("extracted_at").alias("inserted_at"),
+        # The time of the micro-batch, which a replay of the batch keeps.
+        F.current_timestamp().cast("timestamp_ntz").alias("inserted_at"),
     ).drop("_extracted_at")
 
 
 def landing_rejects(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    raw = (
-        spark.readStream.schema(raw_json.RAW)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", raw_json.CORRUPT)
-        .option("multiLine", multiline)
-        .json(path)
-        .select("*", F.col("_metadata.file_path").alias("source_file"))
-    )
+    raw = raw_json.stream_raw(spark, path, multiline)
     return raw.withColumn("reason", raw_json.reject_reason()).where(F.col("reason").isNotNull()).select(
         "source_file", "reason", F.col(raw_json.CORRUPT).alias("raw")
     )
@@ -79,7 +67,7 @@ def dedup_within_watermark(df: DataFrame, delay: str = "2 hours") -> DataFrame:
     return df.withWatermark(ev, delay).dropDuplicatesWithinWatermark(list(KEY)).drop(ev)
 
 
-def hourly_counts(df: DataFrame, time_col: str = "inserted_at", delay: str = "1 hour") -> DataFrame:
+def hourly_counts(df: DataFrame, time_col: str = "extracted_at", delay: str = "1 hour") -> DataFrame:
     df, ev = _event_time(df, time_col)
     return (
         df.withWatermark(ev, delay)
@@ -94,13 +82,9 @@ def hourly_counts(df: DataFrame, time_col: str = "inserted_at", delay: str = "1
 
 
 def latest_per_city(df: DataFrame) -> DataFrame:
-    """Greatest (recorded_at, inserted_at, -obs_id) per city as streaming aggregate state."""
-    cols = [c for c in df.columns]
-    best = F.max(F.struct(F.col("recorded_at"), F.col("inserted_at"), -F.col("obs_id"), F.struct(*cols).alias("row")))
-    return df.where(F.col("city").isNotNull()).groupBy("city").agg(best.alias("_best")).select(
-        "city", F.col("_best.row.recorded_at").alias("recorded_at"), F.col("_best.row.obs_id").alias("obs_id"),
-        F.col("_best.row.temperature_c").alias("temperature_c"),
-    )
+    """Row of the greatest (recorded_at, inserted_at, -obs_id) per city as streaming aggregate
+    state; the batch operator is itself one aggregate, so it runs on a stream as it is."""
+    return activity.latest_per_city(df)
 
 
 def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
@@ -117,12 +101,17 @@ def start_keyed_load(
     stats_sink: list | None = None,
     quarantine_path: str | None = None,
 ) -> StreamingQuery:
-    """Validate each micro-batch and insert its clean rows if absent (T3); rows that the
-    rules hold back are appended to ``quarantine_path`` where one is given.
+    """Validate each micro-batch and insert its clean rows if absent (T3). Rows that the
+    rules hold back go to ``quarantine_path`` (by default beside the table), in a part of
+    their own for each stream and batch, which a replay of the batch writes anew.
 
     A batch that is re-run after a failure finds its rows already stored and skips them,
     so the table is exact under replay without any streaming state.
     """
+    location = _checkpoint(spark, name, checkpoint_location)
+    held_back = os.path.join(
+        quarantine_path or f"{table_path.rstrip('/')}_quarantine", f"stream={hashlib.md5(location.encode()).hexdigest()[:12]}s"
+    )
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -134,13 +123,72 @@ def start_keyed_load(
         staged = staged.withColumn("_order", F.struct("extracted_at", *[c for c in ("source_file",) if c in staged.columns], "_position"))
         v = quality.validate(staged, order_col="_order")
         stats = load_op.load(session, v.clean, table_path, order_col="_order")
-        if quarantine_path:
-            bad = v.quarantine.drop("_order", "_position").withColumn("batch_id", F.lit(batch_id))
-            bad.write.mode("append").parquet(quarantine_path)
+        v.quarantine.drop("_order", "_position").write.mode("overwrite").parquet(os.path.join(held_back, f"batch_id={batch_id}"))
         if stats_sink is not None:
             stats_sink.append((batch_id, stats))
 
-    writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", _checkpoint(spark, name, checkpoint_location))
+    writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", location)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
+    return writer.queryName(name).start()
+
+
+# ---------------------------------------------------------------------------
+# the latest row per city as a table
+# ---------------------------------------------------------------------------
+
+#: Parts of a latest table by hash of the city; a batch rewrites those its cities fall into.
+LATEST_PARTS = 64
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The latest row per city. A part may for a while hold rows of an earlier generation
+    beside those of the newest; the greatest row of a city is the same either way."""
+    return activity.latest_per_city(spark.read.option("basePath", path).parquet(path).drop("part", "generation"))
+
+
+def merge_latest(spark: SparkSession, batch: DataFrame, path: str, parts: int = LATEST_PARTS) -> None:
+    """Merge the newest row per city of ``batch`` into the latest table at ``path``.
+
+    Only parts that hold one of the batch's cities are read and written: as a new generation,
+    after which the generations it was made from are deleted. Nothing is overwritten, so a
+    failure at any point leaves every city's row in place, and merging a batch twice is
+    merging it once. One writer at a time.
+    """
+    stage = scratch_path(spark, f"latest/{uuid.uuid4().hex}")
+    activity.latest_per_city(batch).withColumn("part", F.pmod(F.xxhash64("city"), F.lit(parts)).cast("int")).write.parquet(stage)
+    rows = spark.read.parquet(stage)
+    touched = [r.part for r in rows.select("part").distinct().collect()]  # at most ``parts``
+    if not touched:
+        return
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [hpath(os.path.join(path, f"part={p}")) for p in touched]
+    old = [s.getPath() for f in folders if fs.exists(f) for s in fs.listStatus(f)]
+    if old:
+        stored = spark.read.option("basePath", path).parquet(*[f.toString() for f in folders if fs.exists(f)])
+        rows = rows.unionByName(stored.drop("generation"))
+    merged = activity.latest_per_city(rows).withColumn("generation", F.lit(f"g{uuid.uuid4().hex}"))
+    merged.repartition("part").write.mode("append").partitionBy("part", "generation").parquet(path)
+    for generation in old:
+        fs.delete(generation, True)
+
+
+def start_latest_table(
+    spark: SparkSession,
+    stream: DataFrame,
+    path: str,
+    name: str = "latest",
+    checkpoint_location: str | None = None,
+    available_now: bool = True,
+    parts: int = LATEST_PARTS,
+) -> StreamingQuery:
+    """Keep the latest row per city of a stream in a table (T5): each micro-batch is reduced
+    to its newest row per city and merged by :func:`merge_latest`."""
+    writer = (
+        stream.writeStream.foreachBatch(lambda batch, _: merge_latest(batch.sparkSession, batch, path, parts))
+        .outputMode("update")
+        .option("checkpointLocation", _checkpoint(spark, name, checkpoint_location))
+    )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.queryName(name).start()
 
