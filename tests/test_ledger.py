@@ -31,7 +31,13 @@ def keys(df):
     return sorted(map(tuple, df.select("city", "recorded_at", "temperature_c").collect()), key=str)
 
 
-def test_incremental_run_reads_only_new_files(spark, tmp_dir):
+@pytest.fixture()
+def no_reports(monkeypatch):
+    """Runs without their reports, which test_run.py covers."""
+    monkeypatch.setattr(R._Run, "report", lambda run, source: None)
+
+
+def test_incremental_run_reads_only_new_files(spark, tmp_dir, no_reports):
     landing, table, out = f"{tmp_dir}/landing", f"{tmp_dir}/table", f"{tmp_dir}/out"
     early = land(spark, landing, EARLY)
     first = R.run_incremental(spark, landing, table, out, run_ts=datetime(2024, 2, 1))
@@ -65,7 +71,7 @@ def test_incremental_run_reads_only_new_files(spark, tmp_dir):
     assert processed.columns == list(transform.FINAL_COLUMNS) and processed.count() == early + late
 
 
-def test_batches_of_one_run_add_up_to_the_whole(spark, tmp_dir):
+def test_batches_of_one_run_add_up_to_the_whole(spark, tmp_dir, no_reports):
     landing = f"{tmp_dir}/landing"
     land(spark, landing)
     parts = R.run_incremental(spark, landing, f"{tmp_dir}/t", f"{tmp_dir}/o", run_ts=datetime(2024, 2, 1), max_files_per_trigger=20)
@@ -82,7 +88,7 @@ def test_batches_of_one_run_add_up_to_the_whole(spark, tmp_dir):
     assert warned.count() == flagged.where("not critical and (f_range_pressure_hpa or f_short_city)").count() > 0
 
 
-def test_failed_load_leaves_the_files_to_the_next_run(spark, tmp_dir):
+def test_failed_load_leaves_the_files_to_the_next_run(spark, tmp_dir, no_reports):
     landing, blocked = f"{tmp_dir}/landing", f"{tmp_dir}/not_a_table"
     n = land(spark, landing, EARLY)
     with open(blocked, "w") as f:  # a plain file where the table folder should be
