@@ -64,13 +64,21 @@ def test_incremental_run_reads_only_new_files(spark, tmp_dir, no_reports):
     # both runs are kept, and each repeats only itself
     assert {r.run_id for r in spark.read.parquet(f"{out}/quarantine").select("run_id").distinct().collect()} == {
         "20240201_000000", "20240201_010000"}
-    before = spark.read.parquet(f"{tmp_dir}/out2/quarantine").count()
-    R.run_batch(spark, landing, f"{tmp_dir}/whole", f"{tmp_dir}/out2", run_ts=datetime(2024, 2, 1))
-    assert spark.read.parquet(f"{tmp_dir}/out2/quarantine").count() == before > 0
     processed = spark.read.option("header", True).csv(f"{tmp_dir}/out2/processed/run_id=20240201_000000/batch=0")
     assert processed.columns == list(transform.FINAL_COLUMNS) and processed.count() == early + late
 
 
+def test_a_repeated_run_replaces_its_own_output_only(spark, tmp_dir, no_reports):
+    os.makedirs(f"{tmp_dir}/l")
+    with open(f"{tmp_dir}/l/a.json", "w") as f:
+        f.write('{"name": "Oslo", "dt": 1700000000}\n')  # no temperature: held back
+    for hour in (0, 1, 1):
+        res = R.run_batch(spark, f"{tmp_dir}/l", f"{tmp_dir}/t", f"{tmp_dir}/o", run_ts=datetime(2024, 2, 1, hour))
+        assert res.status == "FAILED" and res.stages["validate"]["reason"] == "no clean records"
+    rows = spark.read.parquet(f"{tmp_dir}/o/quarantine").groupBy("run_id").count().collect()
+    assert {(r.run_id, r["count"]) for r in rows} == {("20240201_000000", 1), ("20240201_010000", 1)}
+
+
 def test_batches_of_one_run_add_up_to_the_whole(spark, tmp_dir, no_reports):
     landing = f"{tmp_dir}/landing"
     land(spark, landing)
