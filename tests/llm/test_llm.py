@@ -100,6 +100,42 @@ def test_block_split_keeps_components(spark, monkeypatch):
     assert set(roots) | {0} == set(f) and set(roots.values()) == {0}
 
 
+def test_hot_half_links_like_all_pairs(spark, monkeypatch):
+    """Many fingerprints that share a half, among them chains of links at three bits."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    g = random.Random(9)
+    flipped = lambda x, n, bits: x ^ sum(1 << b for b in g.sample(bits, n))
+    f = {0xDEADBEEF << 32 | g.getrandbits(32) for _ in range(60)} | {g.getrandbits(32) << 32 | 0xCAFE for _ in range(60)}
+    for x in sorted(f)[:50]:
+        f |= {flipped(x, 3, range(64)), flipped(x, 2, range(32)), flipped(x, 3, range(16, 32)), flipped(x, 4, range(64))}
+    f = sorted(f)
+    root = {x: x for x in f}
+    for _ in f:
+        before = dict(root)
+        for a in f:
+            root[a] = min(root[b] for b in f if (a ^ b).bit_count() <= 3)
+        if root == before:
+            break
+    edges = simhash.link_edges(spark.createDataFrame([(simhash._signed(x),) for x in f], "f bigint"))
+    got = {r["node"]: r["root"] for r in components.connected_components(edges).collect()}
+    groups = lambda label: sorted(sorted(x for x in f if label(x) == r) for r in {label(x) for x in f})
+    assert groups(root.get) == groups(lambda x: got.get(simhash._signed(x), simhash._signed(x)))
+
+
+def test_learning_samples_are_bounded(spark):
+    """An id that repeats brings no more rows than the sample, copies count once."""
+    rows = [(1, f"text number {i} of one id", "en", "a") for i in range(50)] + [(2, "un deux trois", "fr", "a")] * 9 + [(None, "no id", "en", "a")]
+    d = docs_of(spark, rows).select("doc_id", "text", "lang")
+    got = language.first_documents(d, 5).groupBy("lang").count().collect()
+    assert {tuple(r) for r in got} == {("en", 5), ("fr", 1)}
+    everything = language.first_documents(d, 100)
+    assert everything.count() == 52 and everything.columns == ["doc_id", "text", "lang"]
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1), (7, 1)], "doc_id bigint, quality int")
+    got = neighbours.labelled(d, labels, "quality", 100)
+    assert got.count() == 51 and got.filter("doc_id = 2").count() == 1
+    assert neighbours.labelled(d, labels, "quality", 4).count() == 4
+
+
 def test_language_held_out(spark, odd, empty):
     got = language.op3_language(spark, SF_SMALL)
     lang = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "lang")

@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import read, without
+from wxspark.llm.common import read, without, written
 from wxspark.llm.ngrams import TEXTS, hashed_counts, unit
 
 DIMS, SIZES, CENTROIDS = 4096, (1, 2, 3), 4
 #: Documents of a language that its centroids are learned from, at most: those of the
 #: smallest hash of doc_id.
 SAMPLE = 400
+#: Parts that the sample of a language is first chosen in.
+PARTS = 64
 #: A centroid's limit: this share of the cosine that all but 1 % of its sample reach.
 REJECT_SHARE = 0.5
 UNKNOWN = "und"
@@ -69,20 +71,36 @@ def clustered(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres.astype(np.float32)
 
 
+def first_documents(docs: DataFrame, sample: int) -> DataFrame:
+    """The ``sample`` documents of each language in ``docs`` (doc_id, text, lang) of smallest
+    hash of doc_id; rows that agree in id, language and text are one document.
+
+    They are chosen in PARTS parts of a language and then among PARTS * sample at most, by
+    ids and hashes; only the texts of those chosen move.
+    """
+    keyed = docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("key"))
+    order = [F.xxhash64("doc_id"), "doc_id", "key"]
+    ids = keyed.select("lang", "doc_id", "key").distinct().withColumn("part", F.pmod(F.xxhash64("doc_id", "key"), F.lit(PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("n") <= sample)
+    ids = written(ids.select("lang", F.col("doc_id").alias("id"), "key"), "language-sample")
+    same = (keyed["lang"] == ids["lang"]) & keyed["doc_id"].eqNullSafe(ids["id"]) & (keyed["key"] == ids["key"])
+    return keyed.join(ids, same, "left_semi").dropDuplicates(["doc_id", "lang", "key"]).drop("key")
+
+
 def learn(docs: DataFrame, k: int = CENTROIDS, sample: int = SAMPLE) -> dict:
     """A model from ``docs`` (doc_id, text, lang); rows of null text or lang teach nothing.
 
     Document frequencies come from all of these rows, centroids from ``sample`` documents
-    of each language. The model holds ``k`` centroids of DIMS numbers for each language.
+    of each language (``first_documents``). The model holds ``k`` centroids of DIMS numbers
+    for each language.
     """
     docs = docs.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
     idf = document_frequencies(docs)
-    ids = docs.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
-    first = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("n") <= sample)
-    some = docs.join(first.select("lang", "doc_id").distinct(), ["lang", "doc_id"], "left_semi")
+    some = first_documents(docs, sample)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "text"]).head(sample)
+        pdf = pdf.sort_values(["doc_id", "text"])
         x = vectors(pdf["text"].tolist(), idf)
         x = x[x.any(1)]
         if not len(x):

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wxspark.llm.common import read, without
+from wxspark.llm.common import read, without, written
 from wxspark.llm.language import held_out
 from wxspark.llm.ngrams import TEXTS, hashed_counts, unit
 
@@ -59,15 +59,25 @@ def features(texts: list[str | None]) -> np.ndarray:
 WIDTH = DIMS + 5 * STEPS + 1
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
+    """(doc_id, text, ``label``) of at most ``sample`` documents, those of the smallest hash
+    of doc_id; rows that agree in id, text and label are one. Ids and hashes are chosen
+    first, so an id that repeats moves no more texts than ``sample``."""
+    order = [F.xxhash64("doc_id"), "doc_id", label]
+    known = labels.select("doc_id", label).filter(F.col(label).isin(0, 1)).distinct().orderBy(*order).limit(sample)
+    keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    chosen = keyed.select("doc_id", "key").join(known, "doc_id").distinct().orderBy(*order, "key").limit(sample)
+    return keyed.join(written(chosen, "labelled"), ["doc_id", "key"]).dropDuplicates(["doc_id", "key", label]).drop("key")
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE) -> dict:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, ``label`` 0 or 1); rows
-    without a label teach nothing, repeated rows teach again.
+    without a label teach nothing, repeated rows once.
 
-    At most ``sample`` rows of ``labels``, by hash of doc_id, are made vectors on the
-    executors; only their features reach the driver. ``axes`` has LATENT singular vectors.
+    At most ``sample`` documents (``labelled``) are made vectors on the executors; only
+    their features reach the driver. ``axes`` has LATENT singular vectors.
     """
-    some = labels.select("doc_id", label).filter(F.col(label).isin(0, 1)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    some = docs.select("doc_id", "text").join(some, "doc_id")
+    some = labelled(docs, labels, label, sample)
 
     def rows(batches):
         for b in batches:
