@@ -35,6 +35,17 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in printable} | {b: 0x100 + i for i, b in enumerate(others)}
 
 
+def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of stretches, each from its start on, one after another."""
+    upto = np.cumsum(sizes)
+    n = int(upto[-1])
+    # Half the memory to move where the places are small.
+    kind = np.int32 if max(n, int((starts + sizes).max())) < 1 << 31 else np.int64
+    out = np.repeat((starts - upto + sizes).astype(kind), sizes)
+    out += np.arange(n, dtype=kind)
+    return out
+
+
 class Encoder:
     """Texts to ids, as ``encode`` gives them for a byte-level BPE whose pre-tokens begin at
     a space, where there is one.
@@ -95,8 +106,11 @@ class Encoder:
 
     def keep(self, words: list[str]) -> None:
         """Encodes words, each with a space before it, and keeps them."""
-        bodies, lines, joined, rest = {}, {}, [], []
+        bodies, lines, joined, keys, many, rest = {}, {}, [], [], [], []
         for w in words:
+            if w.isascii() and w.isalpha():
+                bodies[w] = None
+                continue
             m = PLAIN.fullmatch(w)
             if m is None:
                 rest.append(w)
@@ -104,33 +118,40 @@ class Encoder:
             body, sign, feed, line, end = m.groups()
             bodies[body] = None
             if sign or feed:
-                keys = [body, ("", sign)] if sign else [body]
+                at = len(keys)
+                keys.append(body)
+                if sign:
+                    keys.append(("", sign))
                 if feed:
                     lines[line] = None
-                    keys += [("\n", line), ("", end)] if end else [("\n", line)]
-                joined.append((w, keys))
+                    keys.append(("\n", line))
+                    if end:
+                        keys.append(("", end))
+                joined.append(w)
+                many.append(len(keys) - at)
+        get = self.words.get
         new = [w for w in bodies if w not in self.words]
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
-            self.parts(some, [self.space + self.letters_of(w) for w in some], lambda ids: self.spaced[ids])
+            self.parts(some, [self.space + (w if w.isascii() else self.letters_of(w)) for w in some], lambda ids: self.spaced[ids])
         new = [w for w in lines if ("\n", w) not in self.words]
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             coded = [x for w in some for x in (self.feed, self.letters_of(w))]
             self.parts([("\n", w) for w in some], coded, lambda ids: ids == self.feed_id)
         rest += [w for w in bodies if w not in self.words]
-        whole = [(w, keys) for w, keys in joined if all(k in self.words for k in keys)]
-        if len(whole) < len(joined):
-            known = {w for w, _ in whole}
-            rest += [w for w, _ in joined if w not in known]
-        if whole:
-            many = np.array([len(keys) for _, keys in whole])
-            own = np.array([self.words[k] for _, keys in whole for k in keys])
+        if joined:
+            many = np.array(many)
+            own = np.array([get(k, -1) for k in keys])
+            whole = np.minimum.reduceat(own, np.cumsum(many) - many) >= 0
+            rest += [w for w, known in zip(joined, whole.tolist(), strict=True) if not known]
+            own, many = own[np.repeat(whole, many)], many[whole]
+            joined = [w for w, known in zip(joined, whole.tolist(), strict=True) if known]
+        if joined:
             starts = np.where(own > 0, self.ends[own - 1], 0)
             sizes = self.ends[own] - starts
-            upto = np.cumsum(sizes)
-            ids = self.ids[np.repeat(starts - upto + sizes, sizes) + np.arange(upto[-1])]
-            self.add([w for w, _ in whole], ids, np.add.reduceat(sizes, np.cumsum(many) - many))
+            ids = self.ids[places(starts, sizes)]
+            self.add(joined, ids, np.add.reduceat(sizes, np.cumsum(many) - many))
         for at in range(0, len(rest), 4096):
             some = self.each([" " + w for w in rest[at : at + 4096]])
             self.add(rest[at : at + 4096], np.concatenate(some), np.array([len(x) for x in some]))
@@ -178,9 +199,7 @@ class Encoder:
         segment[bounds[:-1] + np.arange(n)] = len(ends) + np.arange(n)
         segment[last] = len(sizes) - 1
         many = sizes[segment]
-        upto = np.cumsum(many)
-        ids = flat[np.repeat(starts[segment] - upto + many, many) + np.arange(upto[-1])]
-        return ids, np.diff(upto[last], prepend=0)
+        return flat[places(starts[segment], many)], np.diff(np.cumsum(many)[last], prepend=0)
 
 
 def encoder(path: str) -> Encoder:
